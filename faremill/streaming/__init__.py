@@ -1,0 +1,5 @@
+"""Loads that follow data as it arrives.
+
+The feeds arrive in batches every few hours, so they are followed by bounded batch jobs that
+replace whole days, not by a continuous query.
+"""

@@ -1,0 +1,26 @@
+"""Day-by-day loading with a one-day look-back for late rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+LOOKBACK = dt.timedelta(days=1)
+
+
+def reload_from(target: DataFrame | None, day: str) -> dt.date | None:
+    """First day to load again: the day before the newest loaded one.
+
+    None means load everything: there is no target, or it is empty. Only this one value comes to
+    the driver. It then reaches the scans as a literal, which prunes partitions and row groups.
+    """
+    if target is None:
+        return None
+    newest = target.agg(F.max(day)).first()[0]
+    return None if newest is None else newest - LOOKBACK
+
+
+def since(df: DataFrame, column: str, first: dt.date | None) -> DataFrame:
+    return df if first is None else df.where(F.col(column) >= F.lit(first))
