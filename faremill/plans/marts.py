@@ -85,7 +85,8 @@ def fct_driver_activity(trips: DataFrame, events: DataFrame) -> DataFrame:
             F.count_if(F.col("surge_multiplier") > 1).alias("surge_trips"),
         )
     )
-    revenue_rate = n.safe_divide(F.col("gross_revenue").cast("double"), F.col("online_hours"))
+    # Hours carry two decimals, so the quotient is taken in decimals: halves round as they should.
+    revenue_rate = n.safe_divide(F.col("gross_revenue"), n.numeric(F.col("online_hours"))).cast("double")
     return work.join(daily_online_hours(events), ["driver_id", "activity_date"], "left").select(
         surrogate_key("driver_id", "activity_date").alias("fct_driver_activity_sk"),
         *["driver_id", "city_id", "activity_date", "trips_completed", "gross_revenue", "net_revenue"],
