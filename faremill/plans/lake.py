@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from faremill.config import Settings
 from faremill.operators.freshness import source_freshness
@@ -36,8 +37,11 @@ class Model:
 
 MODELS: dict[str, Model] = {
     "stg_trips": Model(staging.stg_trips, ("trips_raw",)),
-    "stg_drivers": Model(staging.stg_drivers, ("drivers_raw",)),
-    "stg_riders": Model(staging.stg_riders, ("riders_raw",)),
+    # Stored, so that joins to them read plain tables: their true size decides on a broadcast, and
+    # beyond it the exchange sits right below the join, where adaptive execution can split the
+    # partition of a hot driver or rider. Under a window it could not.
+    "stg_drivers": Model(staging.stg_drivers, ("drivers_raw",), stored=True),
+    "stg_riders": Model(staging.stg_riders, ("riders_raw",), stored=True),
     "stg_payments": Model(staging.stg_payments, ("payments_raw",)),
     "stg_cities": Model(staging.stg_cities, ("cities_raw",)),
     "stg_driver_status_events": Model(
@@ -121,13 +125,15 @@ class Lake:
         self.raw = raw
         self.folder = folder
         self.settings = settings or Settings()
+        self._schemas: dict[str, StructType] = {}
 
     def _path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def _stored(self, name: str) -> DataFrame | None:
-        read = read_history if name == HISTORY else read_table
-        return read(self.spark, self._path(name))
+        if name == HISTORY:
+            return read_history(self.spark, self._path(name))
+        return read_table(self.spark, self._path(name), self._schemas.get(name))
 
     def table(self, name: str) -> DataFrame:
         """A raw table, a view's plan, or a stored table (written now if it never was)."""
@@ -157,10 +163,13 @@ class Lake:
             return
         model, path = MODELS[name], self._path(name)
         if model.day is None:
-            replace_table(self.plan(name), path)
-            return
-        first_day = None if full_refresh else reload_from(self._stored(name), model.day)
-        overwrite_days(self.plan(name, first_day), path, model.day, model.cluster, all_days=first_day is None)
+            df = self.plan(name)
+            replace_table(df, path)
+        else:
+            first_day = None if full_refresh else reload_from(self._stored(name), model.day)
+            df = self.plan(name, first_day)
+            overwrite_days(df, path, model.day, model.cluster, all_days=first_day is None)
+        self._schemas[name] = df.schema
 
     def build(self, full_refresh: bool = False) -> None:
         """Refresh every stored table, inputs first, then the driver history."""

@@ -6,14 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None when nothing has been written there."""
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The table at a path, or None when nothing has been written there.
+
+    A known schema saves the job that reads file footers to infer one.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() in _ABSENT:
             return None
