@@ -39,40 +39,43 @@ def completed_and_zero(df: DataFrame, model: str, columns: Sequence[str]) -> Dat
     return failing_rows(df, model, {c: done & (F.col(c) == 0) for c in columns})
 
 
-def _result(model: str, column: str, counted: DataFrame, failures: Column) -> DataFrame:
-    return counted.agg(failures.alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(column).alias("column_name"), "failures"
-    )
+def _named_values(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """Non-null values laid out as rows ``column_name, value``: one pass however many columns."""
+    rows = [
+        F.when(value.isNotNull(), F.struct(F.lit(column).alias("column_name"), value.cast("string").alias("value")))
+        for column, value in values.items()
+    ]
+    return df.select(F.explode(F.array_compact(F.array(*rows))).alias("v")).select("v.*")
 
 
-def unique(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Number of values that occur more than once; nulls do not count."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
-    return _result(model, column, repeated, F.count(F.lit(1)))
+def _per_column(df: DataFrame, model: str, columns: Sequence[str], failures: Column) -> DataFrame:
+    """One row per column, 0 failures included, from rows tagged with ``column_name``."""
+    ours = [F.when(F.col("column_name") == c, failures) for c in columns]
+    counts = df.agg(*[F.coalesce(F.sum(o), F.lit(0)).alias(c) for o, c in zip(ours, columns)])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in columns]
+    return counts.select(F.lit(model).alias("model"), F.inline(F.array(*rows)))
 
 
-def accepted_values(df: DataFrame, model: str, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Number of distinct values outside the list, per column; null passes.
+def unique(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
+    """Number of values that occur more than once, per column; nulls do not count."""
+    values = _named_values(df, {c: F.col(c) for c in columns})
+    repeated = values.groupBy("column_name", "value").count().where("count > 1")
+    return _per_column(repeated, model, columns, F.lit(1))
 
-    One pass: the unwanted values of all columns are laid out as rows, then made distinct.
-    """
-    unwanted = [
-        F.when(~F.col(c).isin(*values), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")))
-        for c, values in allowed.items()
-    ]
-    found = df.select(F.explode(F.array_compact(F.array(*unwanted))).alias("bad")).select("bad.*").distinct()
-    counts = found.agg(*[F.count_if(F.col("column_name") == c).alias(c) for c in allowed])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in allowed]
-    return counts.select(F.lit(model).alias("model"), F.inline(F.array(*rows)))
+
+def accepted_values(df: DataFrame, model: str, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Number of distinct values outside the list, per column; null passes."""
+    unwanted = {c: F.when(~F.col(c).isin(*values), F.col(c)) for c, values in allowed.items()}
+    return _per_column(_named_values(df, unwanted).distinct(), model, list(allowed), F.lit(1))
 
 
-def relationships(child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-null key is missing from the parent.
+def relationships(child: DataFrame, model: str, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Child rows whose non-null key is missing from the parent's column of the same name, per key.
 
     Both sides shrink to distinct keys before the join, so a key that fills a third of the table
-    crosses the network once per task.
+    crosses the network once per task, and all keys of a child share one pass over it.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).count()
-    known = parent.select(F.col(parent_column).alias("key")).distinct()
-    missing = keys.join(known, "key", "left_anti")
-    return _result(model, column, missing, F.coalesce(F.sum("count"), F.lit(0)))
+    keys = _named_values(child, {c: F.col(c) for c in parents}).groupBy("column_name", "value").count()
+    known = union_all([_named_values(parent, {c: F.col(c)}) for c, parent in parents.items()]).distinct()
+    missing = keys.join(known, ["column_name", "value"], "left_anti")
+    return _per_column(missing, model, list(parents), F.col("count"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from faremill.operators import checks as c
 
@@ -112,23 +113,15 @@ def _per_table(check, declared: dict) -> Callable[[Tables], DataFrame]:
     return lambda tables: c.union_all([check(tables(m), m, columns) for m, columns in declared.items()])
 
 
-def _unique(tables: Tables) -> DataFrame:
-    return c.union_all([c.unique(tables(m), m, column) for m, columns in UNIQUE.items() for column in columns])
-
-
 def _relationships(tables: Tables) -> DataFrame:
     return c.union_all(
-        [
-            c.relationships(tables(m), m, key, tables(parent), key)
-            for m, keys in RELATIONSHIPS.items()
-            for key, parent in keys
-        ]
+        [c.relationships(tables(m), m, {key: tables(parent) for key, parent in keys}) for m, keys in RELATIONSHIPS.items()]
     )
 
 
 CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_not_null": _per_table(c.not_null, NOT_NULL),
-    "dq_unique": _unique,
+    "dq_unique": _per_table(c.unique, UNIQUE),
     "dq_accepted_values": _per_table(c.accepted_values, ACCEPTED_VALUES),
     "dq_relationships": _relationships,
     "dq_expression_is_true": _per_table(c.at_least_zero, EXPRESSION_IS_TRUE),
@@ -136,3 +129,8 @@ CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_positive_trip_duration": _per_table(c.completed_and_not_positive, POSITIVE_TRIP_DURATION),
     "dq_completed_has_payment": _per_table(c.completed_and_zero, COMPLETED_HAS_PAYMENT),
 }
+
+
+def all_checks(tables: Tables) -> DataFrame:
+    """Every check in one job, so that Spark shuffles a table that several groups read only once."""
+    return c.union_all([run(tables).select(F.lit(name).alias("check"), "*") for name, run in CHECKS.items()])

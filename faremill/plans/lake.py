@@ -12,9 +12,9 @@ from pyspark.sql.types import StructType
 from faremill.config import Settings
 from faremill.operators.freshness import source_freshness
 from faremill.plans import core, intermediate, marts, reports, staging
-from faremill.plans.declared_checks import CHECKS
+from faremill.plans.declared_checks import CHECKS, all_checks
 from faremill.sources.history_table import append_run, read_history
-from faremill.sources.tables import overwrite_days, read_table, replace_table
+from faremill.sources.tables import overwrite_days, read_days, read_replaced, replace_table
 from faremill.streaming.incremental import reload_from, since
 
 HISTORY = "drivers_snapshot"
@@ -22,27 +22,31 @@ HISTORY = "drivers_snapshot"
 
 @dataclass(frozen=True)
 class Model:
-    """A plan and its inputs. ``stored`` tables are written; others are views."""
+    """A plan and its inputs: a view unless ``stored``."""
 
     plan: Callable[..., DataFrame]
     inputs: tuple[str, ...]
     stored: bool = False
-    #: Partition column of a table loaded day by day, its sort columns, and the column of each
-    #: input that limits what a load reads.
-    day: str | None = None
+    #: A view whose rows are written once per run, for the plans that read it.
+    kept: bool = False
+    #: Columns the stored rows are sorted by.
     cluster: tuple[str, ...] = ()
+    #: Partition column of a table loaded day by day, and the column of each input that limits
+    #: what a load reads.
+    day: str | None = None
     window: Mapping[str, str] = field(default_factory=dict)
     uses_settings: bool = False
 
 
 MODELS: dict[str, Model] = {
     "stg_trips": Model(staging.stg_trips, ("trips_raw",)),
-    # Stored, so that joins to them read plain tables: their true size decides on a broadcast, and
+    # Kept, so that joins to them read plain tables: their true size decides on a broadcast, and
     # beyond it the exchange sits right below the join, where adaptive execution can split the
     # partition of a hot driver or rider. Under a window it could not.
-    "stg_drivers": Model(staging.stg_drivers, ("drivers_raw",), stored=True),
-    "stg_riders": Model(staging.stg_riders, ("riders_raw",), stored=True),
-    "stg_payments": Model(staging.stg_payments, ("payments_raw",)),
+    "stg_drivers": Model(staging.stg_drivers, ("drivers_raw",), kept=True),
+    "stg_riders": Model(staging.stg_riders, ("riders_raw",), kept=True),
+    # Kept, because two tables read it: its copies are removed once.
+    "stg_payments": Model(staging.stg_payments, ("payments_raw",), kept=True),
     "stg_cities": Model(staging.stg_cities, ("cities_raw",)),
     "stg_driver_status_events": Model(
         staging.stg_driver_status_events,
@@ -56,6 +60,8 @@ MODELS: dict[str, Model] = {
         intermediate.int_trips_enriched,
         ("stg_trips", "stg_payments", "stg_cities", "stg_drivers", "stg_riders"),
         stored=True,
+        # Joined last on riders, its days lie scattered: sorted, a day-by-day load skips most pages.
+        cluster=("trip_date",),
         uses_settings=True,
     ),
     "int_driver_lifetime_stats": Model(
@@ -116,7 +122,10 @@ MODELS: dict[str, Model] = {
 
 
 class Lake:
-    """Raw tables, a folder for the stored tables, and the plans in between."""
+    """Raw tables, a folder for the stored tables, and the plans in between.
+
+    One object stands for one run over the raw data it was given; ``build`` starts a new run.
+    """
 
     def __init__(
         self, spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, settings: Settings | None = None
@@ -126,6 +135,7 @@ class Lake:
         self.folder = folder
         self.settings = settings or Settings()
         self._schemas: dict[str, StructType] = {}
+        self._kept: set[str] = set()
 
     def _path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -133,15 +143,17 @@ class Lake:
     def _stored(self, name: str) -> DataFrame | None:
         if name == HISTORY:
             return read_history(self.spark, self._path(name))
-        return read_table(self.spark, self._path(name), self._schemas.get(name))
+        read = read_days if MODELS[name].day else read_replaced
+        return read(self.spark, self._path(name), self._schemas.get(name))
 
     def table(self, name: str) -> DataFrame:
-        """A raw table, a view's plan, or a stored table (written now if it never was)."""
+        """A raw table, a view, or a stored table (written now if it never was)."""
         if name in self.raw:
             return self.raw[name]
-        if name != HISTORY and not MODELS[name].stored:
+        model = None if name == HISTORY else MODELS[name]
+        if model and not model.stored and not model.kept:
             return self.plan(name)
-        found = self._stored(name)
+        found = None if model and model.kept and name not in self._kept else self._stored(name)
         if found is None:
             self.refresh(name)
             found = self._stored(name)
@@ -157,22 +169,25 @@ class Lake:
         return model.plan(*inputs, self.settings) if model.uses_settings else model.plan(*inputs)
 
     def refresh(self, name: str, full_refresh: bool = False) -> None:
-        """Bring one stored table up to date with its inputs."""
+        """Bring one stored table, or the rows of a kept view, up to date with its inputs."""
         if name == HISTORY:
             append_run(self.table("stg_drivers"), self._path(name), "driver_id", "updated_at")
             return
         model, path = MODELS[name], self._path(name)
         if model.day is None:
             df = self.plan(name)
-            replace_table(df, path)
+            replace_table(df, path, model.cluster)
         else:
             first_day = None if full_refresh else reload_from(self._stored(name), model.day)
             df = self.plan(name, first_day)
             overwrite_days(df, path, model.day, model.cluster, all_days=first_day is None)
         self._schemas[name] = df.schema
+        if model.kept:
+            self._kept.add(name)
 
     def build(self, full_refresh: bool = False) -> None:
         """Refresh every stored table, inputs first, then the driver history."""
+        self._kept.clear()
         for name, model in MODELS.items():
             if model.stored:
                 self.refresh(name, full_refresh)
@@ -182,5 +197,9 @@ class Lake:
         """One group of data-quality checks: model, column_name, failures."""
         return CHECKS[name](self.table)
 
+    def check_all(self) -> DataFrame:
+        """Every check: check, model, column_name, failures."""
+        return all_checks(self.table)
+
     def freshness(self, now: dt.datetime | None = None) -> DataFrame:
         return source_freshness(self.raw, now)

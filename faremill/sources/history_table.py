@@ -2,8 +2,8 @@
 
 Each run writes ``run=<n>/state=open`` (all open versions) and ``run=<n>/state=closed`` (only the
 versions it closed). The history is every closed row plus the open rows of the last finished run,
-so a run costs as much as the current rows, however long the history grows. Spark's ``_SUCCESS``
-file marks a run as finished; an unfinished one is not read and is written again.
+so a run costs as much as the current rows, however long the history grows. An unfinished run is
+not read and is written again.
 """
 
 from __future__ import annotations
@@ -12,22 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.operators.history import CLOSED, OPEN, as_new_versions, next_versions
-
-
-def last_run(spark: SparkSession, path: str) -> int:
-    """Number of the last finished run; 0 when there is none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return 0
-    finished = [
-        int(status.getPath().getName().removeprefix("run="))
-        for status in files.listStatus(root)
-        if status.getPath().getName().startswith("run=")
-        and files.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
-    ]
-    return max(finished, default=0)
+from faremill.sources.runs import last_run
 
 
 def _rows(spark: SparkSession, path: str, run: int) -> DataFrame:

@@ -1,0 +1,39 @@
+"""Numbered runs below a table's folder.
+
+A run is written to ``run=<n>`` and counts once Spark has put its ``_SUCCESS`` file there, so readers
+see the last finished run and never a half-written one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _runs(spark: SparkSession, path: str):
+    """File system, class for paths, and the run number of each folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return files, hadoop.Path, {}
+    names = [status.getPath() for status in files.listStatus(root)]
+    return files, hadoop.Path, {int(p.getName()[4:]): p for p in names if p.getName().startswith("run=")}
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether the last write to a folder got to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def last_run(spark: SparkSession, path: str) -> int:
+    """Number of the last finished run; 0 when there is none."""
+    files, new_path, runs = _runs(spark, path)
+    return max((n for n, folder in runs.items() if files.exists(new_path(folder, "_SUCCESS"))), default=0)
+
+
+def drop_runs_before(spark: SparkSession, path: str, run: int) -> None:
+    files, _, runs = _runs(spark, path)
+    for n, folder in runs.items():
+        if n < run:
+            files.delete(folder, True)

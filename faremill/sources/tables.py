@@ -1,4 +1,4 @@
-"""Stored Parquet tables in a shared folder: read, replace, overwrite days."""
+"""Stored Parquet tables in a shared folder: replaced whole, or day by day."""
 
 from __future__ import annotations
 
@@ -8,27 +8,48 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+from faremill.sources.runs import drop_runs_before, finished, last_run
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """The table at a path, or None when nothing has been written there.
+def _parquet(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+    """A known schema saves the job that reads file footers to infer one."""
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
-    A known schema saves the job that reads file footers to infer one.
+
+def read_replaced(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The last finished version of a table, or None when there is none."""
+    run = last_run(spark, path)
+    return _parquet(spark, f"{path}/run={run}", schema) if run else None
+
+
+def replace_table(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
+    """Write a new version next to the old one, which stays readable until the new one is complete.
+
+    Sorting inside each task's rows costs no shuffle and lets a later filter on those columns skip
+    Parquet pages. The version before the last is kept for queries that are still reading it.
+    """
+    spark = df.sparkSession
+    run = last_run(spark, path) + 1
+    rows = df.sortWithinPartitions(*cluster) if cluster else df
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}")
+    drop_runs_before(spark, path, run - 1)
+
+
+def read_days(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """A table partitioned by day, or None when it was never completely written.
+
+    Without a schema, None also stands for a table that was written with no rows: it has no files.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    if not finished(spark, path):
+        return None
     try:
-        return reader.parquet(path)
+        return _parquet(spark, path, schema)
     except AnalysisException as e:
-        if e.getCondition() in _ABSENT:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def clustered_by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
     """Few, well-sized files per day, each sorted so that Parquet statistics can skip row groups.
 
@@ -39,10 +60,11 @@ def clustered_by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFra
 
 
 def overwrite_days(df: DataFrame, path: str, day: str, cluster: Sequence[str], *, all_days: bool) -> None:
-    """Replace the days present in ``df``, or the whole table, and leave no other trace.
+    """Replace the days present in ``df``, or the whole table.
 
-    Files are staged and moved in when the job commits, and running the same batch again gives
-    the same table, so a failed run is simply repeated.
+    Files are staged and moved in when the job commits, and running the same batch again gives the
+    same table, so a failed load is simply repeated. A failed rewrite of the whole table leaves no
+    success mark, and the next load builds the table in full.
     """
     (
         clustered_by_day(df, day, cluster)

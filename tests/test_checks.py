@@ -24,8 +24,9 @@ def test_row_checks(spark):
 
 
 def test_unique_counts_repeated_values_and_ignores_nulls(spark):
-    df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "x string")
-    assert result(c.unique(df, "t", "x")) == {"x": 1}
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 4), (None, 5), (None, 5)], "x string, y long")
+    assert result(c.unique(df, "t", ["x", "y"])) == {"x": 1, "y": 1}
+    assert result(c.unique(df.where("x = 'b'"), "t", ["x", "y"])) == {"x": 0, "y": 0}
 
 
 def test_accepted_values_counts_distinct_unwanted_values(spark):
@@ -34,10 +35,11 @@ def test_accepted_values_counts_distinct_unwanted_values(spark):
 
 
 def test_relationships_count_child_rows(spark):
-    child = spark.createDataFrame([("a",), ("z",), ("z",), (None,)], "k string")
-    parent = spark.createDataFrame([("a",), ("a",), (None,)], "id string")
-    assert result(c.relationships(child, "t", "k", parent, "id")) == {"k": 2}
-    assert result(c.relationships(child.where("k = 'a'"), "t", "k", parent, "id")) == {"k": 0}
+    child = spark.createDataFrame([("a", "z"), ("z", "z"), ("z", None), (None, "a")], "k string, l string")
+    keys = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    lists = spark.createDataFrame([("z",)], "l string")
+    assert result(c.relationships(child, "t", {"k": keys, "l": lists})) == {"k": 2, "l": 1}
+    assert result(c.relationships(child.where("k = 'a'"), "t", {"k": keys, "l": lists})) == {"k": 0, "l": 0}
 
 
 def test_number_of_declared_checks():

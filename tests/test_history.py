@@ -6,7 +6,8 @@ from conftest import ts
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from faremill.sources.history_table import append_run, last_run, read_history
+from faremill.sources.history_table import append_run, read_history
+from faremill.sources.runs import last_run
 
 
 @pytest.fixture

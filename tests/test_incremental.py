@@ -4,7 +4,7 @@ import pytest
 from conftest import ts
 
 from faremill import Lake
-from faremill.sources.tables import read_table
+from faremill.sources.tables import overwrite_days, read_days, read_replaced, replace_table
 from faremill.streaming.incremental import reload_from
 
 
@@ -80,7 +80,50 @@ def test_reload_from(spark, tmp_path):
     days = spark.createDataFrame([(dt.date(2024, 1, 5),), (dt.date(2024, 1, 9),), (None,)], "day date")
     assert reload_from(days, "day") == dt.date(2024, 1, 8)
     assert reload_from(days.where("false"), "day") is None
-    assert read_table(spark, str(tmp_path / "nothing")) is None
+
+
+def test_replaced_table_keeps_the_last_complete_version(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert read_replaced(spark, path) is None
+
+    def write(n):
+        replace_table(spark.range(n), path, ["id"])
+        return read_replaced(spark, path).count()
+
+    assert [write(1), write(2)] == [1, 2]
+    before = read_replaced(spark, path)
+    # A run that died before its job committed is neither read nor in the way.
+    (tmp_path / "table" / "run=3" / "_temporary").mkdir(parents=True)
+    assert read_replaced(spark, path).count() == 2
+    assert write(4) == 4
+    assert before.count() == 2
+    write(5)
+    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["run=3", "run=4"]
+
+
+def test_interrupted_rewrite_of_a_day_table_is_built_again(spark, lake, tmp_path):
+    one = lake(driver_status_events=[event("a", 5), event("c", 10)])
+    one.refresh(EVENTS)
+    assert read_days(spark, str(tmp_path / "nothing")) is None
+    # A rewrite that died after clearing the table.
+    table = tmp_path / EVENTS
+    for file in [table / "_SUCCESS", *table.glob("event_date=2024-01-05/*")]:
+        file.unlink()
+    assert loaded(one) == [("a", 5), ("c", 10)]
+
+
+def test_a_day_too_large_for_one_task_is_split_into_sorted_files(spark, tmp_path):
+    skewed = spark.range(40_000).selectExpr(
+        "date_add(date '2024-01-01', if(id % 3 = 0, 7, cast(id % 20 as int))) as day", "id", "md5(string(id)) as pad")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "300KB")
+    try:
+        overwrite_days(skewed.repartition(12), str(tmp_path / "days"), "day", ["id"], all_days=True)
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "days/day=2024-01-08").glob("*.parquet"))) > 1
+    assert read_days(spark, str(tmp_path / "days")).count() == 40_000
 
 
 def trip(trip_id, day, **more):

@@ -61,7 +61,8 @@ def test_trips_are_shuffled_once_for_dedup_and_payments(empty_lake, conf):
     conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
     plan = text(empty_lake.plan("int_trips_enriched"))
     keys = re.findall(r"Exchange hashpartitioning\((\w+?)#", plan)
-    assert sorted(keys) == sorted(["trip_id", "trip_id", "payment_id", "city_id", "city_id"] + ["driver_id"] * 2 + ["rider_id"] * 2)
+    # Two sides per join: the trips' own exchange serves their dedup and the join to payments.
+    assert sorted(keys) == sorted(2 * ["trip_id", "city_id", "driver_id", "rider_id"])
 
 
 def test_small_dimensions_are_broadcast_by_size(empty_lake):
@@ -78,11 +79,12 @@ def test_load_window_reaches_the_scan(spark, empty_lake):
     assert "GreaterThanOrEqual(event_timestamp,2024-01-20" in text(raw)
 
 
-def test_scans_read_only_the_columns_in_use(spark):
+def test_scans_read_only_the_columns_in_use(spark, conf):
+    conf({"spark.sql.maxMetadataStringLength": "2000"})
     plan = text(entry.full_load(spark, FOLDER).plan("q02_gross_vs_net"))
     scan = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
-    assert scan.startswith("trip_month_key:string,trip_status:string,trip_type:string,gross_revenue")
-    assert len(re.findall(r"\w+:\w+", scan)) == 5
+    assert set(re.findall(r"(\w+):", scan)) == {
+        "trip_month_key", "trip_status", "trip_type", "gross_revenue", "net_revenue"}
     assert "EqualTo(trip_status,completed)" in plan
 
 
