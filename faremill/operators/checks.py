@@ -1,81 +1,107 @@
-"""Data-quality checks; each yields ``model, column_name, failures``."""
+"""Data-quality checks: ``model, column_name, failures``, one row per declared column.
+
+Each function takes all its tables at once. Values under check are laid out as rows tagged with
+the number of their check, so however many tables and columns are declared, a table is passed over
+once and the whole group shares one aggregation.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Tables = Callable[[str], DataFrame]
+Columns = Mapping[str, Iterable[str]]
+
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def failing_rows(df: DataFrame, model: str, conditions: Mapping[str, Column]) -> DataFrame:
-    """Rows per column for which the failure condition holds, all in one pass over the table."""
-    counts = df.agg(*[F.count_if(condition).alias(column) for column, condition in conditions.items()])
-    rows = [F.struct(F.lit(column).alias("column_name"), F.col(column).alias("failures")) for column in conditions]
-    return counts.select(F.lit(model).alias("model"), F.inline(F.array(*rows)))
+def _numbered(declared: Columns) -> dict[tuple[str, str], int]:
+    pairs = [(model, column) for model, columns in declared.items() for column in columns]
+    return {pair: number for number, pair in enumerate(pairs)}
 
 
-def not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    return failing_rows(df, model, {c: F.col(c).isNull() for c in columns})
+def _tagged(df: DataFrame, values: Mapping[int, Column]) -> DataFrame:
+    """Non-null values as rows ``check_id, value``."""
+    rows = [
+        F.when(value.isNotNull(), F.struct(F.lit(check).alias("check_id"), value.cast("string").alias("value")))
+        for check, value in values.items()
+    ]
+    return df.select(F.explode(F.array_compact(F.array(*rows))).alias("v")).select("v.*")
 
 
-def at_least_zero(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """Fails for negative values; null passes."""
-    return failing_rows(df, model, {c: F.col(c) < 0 for c in columns})
+def _all_tagged(tables: Tables, declared: Columns, value: Callable[[str, str], Column]) -> DataFrame:
+    numbers = _numbered(declared)
+    return union_all(
+        [_tagged(tables(m), {numbers[m, c]: value(m, c) for c in columns}) for m, columns in declared.items()]
+    )
 
 
-def completed_and_not_positive(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    done = F.col("trip_status") == "completed"
-    return failing_rows(df, model, {c: done & (F.col(c).isNull() | (F.col(c) <= 0)) for c in columns})
+def _counted(declared: Columns, failing: DataFrame, failures: Column) -> DataFrame:
+    """Failures per declared column, 0 where nothing fails."""
+    rows = ", ".join(f"({number}, '{model}', '{column}')" for (model, column), number in _numbered(declared).items())
+    names = failing.sparkSession.sql(f"select * from values {rows} as checks(check_id, model, column_name)")
+    counts = failing.groupBy("check_id").agg(failures.alias("failures"))
+    return names.join(counts, "check_id", "left").select(
+        "model", "column_name", F.coalesce("failures", F.lit(0)).alias("failures")
+    )
 
 
-def completed_and_zero(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    done = F.col("trip_status") == "completed"
-    return failing_rows(df, model, {c: done & (F.col(c) == 0) for c in columns})
+def failing_rows(tables: Tables, declared: Columns, fails: Callable[[Column], Column]) -> DataFrame:
+    """Number of rows for which the failure condition on the column holds."""
+    failing = _all_tagged(tables, declared, lambda _, c: F.when(fails(F.col(c)), True))
+    return _counted(declared, failing, F.count(F.lit(1)))
 
 
-def _named_values(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    """Non-null values laid out as rows ``column_name, value``: one pass however many columns."""
-    rows = [
-        F.when(value.isNotNull(), F.struct(F.lit(column).alias("column_name"), value.cast("string").alias("value")))
-        for column, value in values.items()
-    ]
-    return df.select(F.explode(F.array_compact(F.array(*rows))).alias("v")).select("v.*")
+def not_null(tables: Tables, declared: Columns) -> DataFrame:
+    return failing_rows(tables, declared, Column.isNull)
+
+
+def at_least_zero(tables: Tables, declared: Columns) -> DataFrame:
+    """Fails for negative values; null passes."""
+    return failing_rows(tables, declared, lambda c: c < 0)
+
+
+def _if_completed(condition: Column) -> Column:
+    return (F.col("trip_status") == "completed") & condition
+
+
+def positive_when_completed(tables: Tables, declared: Columns) -> DataFrame:
+    return failing_rows(tables, declared, lambda c: _if_completed(c.isNull() | (c <= 0)))
 
 
-def _per_column(df: DataFrame, model: str, columns: Sequence[str], failures: Column) -> DataFrame:
-    """One row per column, 0 failures included, from rows tagged with ``column_name``."""
-    ours = [F.when(F.col("column_name") == c, failures) for c in columns]
-    counts = df.agg(*[F.coalesce(F.sum(o), F.lit(0)).alias(c) for o, c in zip(ours, columns)])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in columns]
-    return counts.select(F.lit(model).alias("model"), F.inline(F.array(*rows)))
+def not_zero_when_completed(tables: Tables, declared: Columns) -> DataFrame:
+    return failing_rows(tables, declared, lambda c: _if_completed(c == 0))
 
 
-def unique(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """Number of values that occur more than once, per column; nulls do not count."""
-    values = _named_values(df, {c: F.col(c) for c in columns})
-    repeated = values.groupBy("column_name", "value").count().where("count > 1")
-    return _per_column(repeated, model, columns, F.lit(1))
+def unique(tables: Tables, declared: Columns) -> DataFrame:
+    """Number of values that occur more than once; nulls do not count."""
+    values = _all_tagged(tables, declared, lambda _, c: F.col(c))
+    repeated = values.groupBy("check_id", "value").count().where("count > 1")
+    return _counted(declared, repeated, F.count(F.lit(1)))
 
 
-def accepted_values(df: DataFrame, model: str, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Number of distinct values outside the list, per column; null passes."""
-    unwanted = {c: F.when(~F.col(c).isin(*values), F.col(c)) for c, values in allowed.items()}
-    return _per_column(_named_values(df, unwanted).distinct(), model, list(allowed), F.lit(1))
+def accepted_values(tables: Tables, allowed: Mapping[str, Mapping[str, Sequence[str]]]) -> DataFrame:
+    """Number of distinct values outside the list; null passes."""
+    unwanted = _all_tagged(tables, allowed, lambda m, c: F.when(~F.col(c).isin(*allowed[m][c]), F.col(c)))
+    return _counted(allowed, unwanted.distinct(), F.count(F.lit(1)))
 
 
-def relationships(child: DataFrame, model: str, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Child rows whose non-null key is missing from the parent's column of the same name, per key.
+def relationships(tables: Tables, parents: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Rows whose non-null key is missing from the parent's column of the same name.
 
-    Both sides shrink to distinct keys before the join, so a key that fills a third of the table
-    crosses the network once per task, and all keys of a child share one pass over it.
+    Both sides shrink to distinct keys before the join, so a key that fills a third of a table
+    crosses the network once per task.
     """
-    keys = _named_values(child, {c: F.col(c) for c in parents}).groupBy("column_name", "value").count()
-    known = union_all([_named_values(parent, {c: F.col(c)}) for c, parent in parents.items()]).distinct()
-    missing = keys.join(known, ["column_name", "value"], "left_anti")
-    return _per_column(missing, model, list(parents), F.col("count"))
+    numbers = _numbered(parents)
+    keys = _all_tagged(tables, parents, lambda _, c: F.col(c)).groupBy("check_id", "value").count()
+    known = union_all(
+        [_tagged(tables(parents[m][c]), {number: F.col(c)}) for (m, c), number in numbers.items()]
+    ).distinct()
+    missing = keys.join(known, ["check_id", "value"], "left_anti")
+    return _counted(parents, missing, F.sum("count"))

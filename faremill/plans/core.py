@@ -82,3 +82,11 @@ def dim_cities(cities: DataFrame, enriched: DataFrame, settings: Settings) -> Da
         money_or_zero(F.col("total_gross_revenue")).alias("total_gross_revenue"),
         *["first_trip_date", "last_trip_date"],
     )
+
+
+def driver_versions(drivers: DataFrame) -> DataFrame:
+    """The driver columns whose history is kept."""
+    return drivers.select(
+        *["driver_id", "vehicle_id", "city_id", "driver_status", "rating"],
+        *["onboarding_date", "created_at", "updated_at"],
+    )

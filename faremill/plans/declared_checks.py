@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from faremill.operators import checks as c
 
-Tables = Callable[[str], DataFrame]
-
 # Accepted texts per column.
 TRIP_STATUS = ["completed", "cancelled", "no_show"]
 PAYMENT_METHOD = ["card", "wallet", "cash"]
@@ -83,16 +81,16 @@ ACCEPTED_VALUES = {
     "fct_fraud_monitoring": {"fraud_category": FRAUD_CATEGORY},
 }
 
-#: child table -> (key, parent table); the key has the same name on both sides.
+#: child table -> key -> parent table; the key has the same name on both sides.
 RELATIONSHIPS = {
-    "trips_raw": [("rider_id", "riders_raw"), ("driver_id", "drivers_raw"), ("city_id", "cities_raw")],
-    "drivers_raw": [("city_id", "cities_raw")],
-    "payments_raw": [("trip_id", "trips_raw")],
-    "driver_status_events_raw": [("driver_id", "drivers_raw")],
-    "stg_trips": [("rider_id", "stg_riders"), ("driver_id", "stg_drivers"), ("city_id", "stg_cities")],
-    "stg_drivers": [("city_id", "stg_cities")],
-    "stg_payments": [("trip_id", "stg_trips")],
-    "stg_driver_status_events": [("driver_id", "stg_drivers")],
+    "trips_raw": {"rider_id": "riders_raw", "driver_id": "drivers_raw", "city_id": "cities_raw"},
+    "drivers_raw": {"city_id": "cities_raw"},
+    "payments_raw": {"trip_id": "trips_raw"},
+    "driver_status_events_raw": {"driver_id": "drivers_raw"},
+    "stg_trips": {"rider_id": "stg_riders", "driver_id": "stg_drivers", "city_id": "stg_cities"},
+    "stg_drivers": {"city_id": "stg_cities"},
+    "stg_payments": {"trip_id": "stg_trips"},
+    "stg_driver_status_events": {"driver_id": "stg_drivers"},
 }
 
 EXPRESSION_IS_TRUE = {"stg_trips": ["actual_fare"], "stg_payments": ["amount"]}
@@ -109,28 +107,18 @@ POSITIVE_TRIP_DURATION = {"fct_trips": ["trip_duration_minutes"]}
 COMPLETED_HAS_PAYMENT = {"fct_trips": ["success_payment_count"]}
 
 
-def _per_table(check, declared: dict) -> Callable[[Tables], DataFrame]:
-    return lambda tables: c.union_all([check(tables(m), m, columns) for m, columns in declared.items()])
-
-
-def _relationships(tables: Tables) -> DataFrame:
-    return c.union_all(
-        [c.relationships(tables(m), m, {key: tables(parent) for key, parent in keys}) for m, keys in RELATIONSHIPS.items()]
-    )
-
-
-CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
-    "dq_not_null": _per_table(c.not_null, NOT_NULL),
-    "dq_unique": _per_table(c.unique, UNIQUE),
-    "dq_accepted_values": _per_table(c.accepted_values, ACCEPTED_VALUES),
-    "dq_relationships": _relationships,
-    "dq_expression_is_true": _per_table(c.at_least_zero, EXPRESSION_IS_TRUE),
-    "dq_no_negative_revenue": _per_table(c.at_least_zero, NO_NEGATIVE_REVENUE),
-    "dq_positive_trip_duration": _per_table(c.completed_and_not_positive, POSITIVE_TRIP_DURATION),
-    "dq_completed_has_payment": _per_table(c.completed_and_zero, COMPLETED_HAS_PAYMENT),
+CHECKS: dict[str, Callable[[c.Tables], DataFrame]] = {
+    "dq_not_null": lambda tables: c.not_null(tables, NOT_NULL),
+    "dq_unique": lambda tables: c.unique(tables, UNIQUE),
+    "dq_accepted_values": lambda tables: c.accepted_values(tables, ACCEPTED_VALUES),
+    "dq_relationships": lambda tables: c.relationships(tables, RELATIONSHIPS),
+    "dq_expression_is_true": lambda tables: c.at_least_zero(tables, EXPRESSION_IS_TRUE),
+    "dq_no_negative_revenue": lambda tables: c.at_least_zero(tables, NO_NEGATIVE_REVENUE),
+    "dq_positive_trip_duration": lambda tables: c.positive_when_completed(tables, POSITIVE_TRIP_DURATION),
+    "dq_completed_has_payment": lambda tables: c.not_zero_when_completed(tables, COMPLETED_HAS_PAYMENT),
 }
 
 
-def all_checks(tables: Tables) -> DataFrame:
+def all_checks(tables: c.Tables) -> DataFrame:
     """Every check in one job, so that Spark shuffles a table that several groups read only once."""
     return c.union_all([run(tables).select(F.lit(name).alias("check"), "*") for name, run in CHECKS.items()])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,6 @@ from faremill.sources.history_table import append_run, read_history
 from faremill.sources.tables import overwrite_days, read_days, read_replaced, replace_table
 from faremill.streaming.incremental import reload_from, since
 
-HISTORY = "drivers_snapshot"
-
 
 @dataclass(frozen=True)
 class Model:
@@ -35,8 +34,14 @@ class Model:
     #: what a load reads.
     day: str | None = None
     window: Mapping[str, str] = field(default_factory=dict)
+    #: Key and change time of a table that keeps every version of its rows.
+    history: tuple[str, str] | None = None
     uses_settings: bool = False
 
+    @property
+    def written(self) -> bool:
+        return self.stored or self.kept
+
 
 MODELS: dict[str, Model] = {
     "stg_trips": Model(staging.stg_trips, ("trips_raw",)),
@@ -108,6 +113,9 @@ MODELS: dict[str, Model] = {
     "fct_fraud_monitoring": Model(
         marts.fct_fraud_monitoring, ("fct_trips", "dim_drivers", "dim_riders"), stored=True
     ),
+    "drivers_snapshot": Model(
+        core.driver_versions, ("stg_drivers",), stored=True, history=("driver_id", "updated_at")
+    ),
     "q01_daily_revenue_by_city": Model(reports.daily_revenue_by_city, ("fct_daily_revenue",)),
     "q02_gross_vs_net": Model(reports.gross_vs_net, ("fct_trips",)),
     "q03_top_drivers": Model(reports.top_drivers, ("fct_driver_activity", "dim_drivers")),
@@ -117,10 +125,22 @@ MODELS: dict[str, Model] = {
     "q07_driver_churn": Model(reports.driver_churn, ("dim_drivers",)),
     "q08_fraud_summary": Model(reports.fraud_summary, ("fct_fraud_monitoring",)),
     "q09_city_profitability": Model(reports.city_profitability, ("fct_daily_revenue", "dim_cities")),
-    "q10_driver_history": Model(reports.driver_history, (HISTORY,)),
+    "q10_driver_history": Model(reports.driver_history, ("drivers_snapshot",)),
 }
 
 
+def write_waves() -> list[list[str]]:
+    """The tables a build writes, in groups that need only earlier groups."""
+    level: dict[str, int] = {}
+    waves: dict[int, list[str]] = {}
+    for name, model in MODELS.items():
+        level[name] = max((level.get(i, 0) for i in model.inputs), default=0)
+        if model.written:
+            level[name] += 1
+            waves.setdefault(level[name], []).append(name)
+    return [waves[at] for at in sorted(waves)]
+
+
 class Lake:
     """Raw tables, a folder for the stored tables, and the plans in between.
 
@@ -141,7 +161,7 @@ class Lake:
         return f"{self.folder}/{name}"
 
     def _stored(self, name: str) -> DataFrame | None:
-        if name == HISTORY:
+        if MODELS[name].history:
             return read_history(self.spark, self._path(name))
         read = read_days if MODELS[name].day else read_replaced
         return read(self.spark, self._path(name), self._schemas.get(name))
@@ -150,10 +170,10 @@ class Lake:
         """A raw table, a view, or a stored table (written now if it never was)."""
         if name in self.raw:
             return self.raw[name]
-        model = None if name == HISTORY else MODELS[name]
-        if model and not model.stored and not model.kept:
+        model = MODELS[name]
+        if not model.written:
             return self.plan(name)
-        found = None if model and model.kept and name not in self._kept else self._stored(name)
+        found = None if model.kept and name not in self._kept else self._stored(name)
         if found is None:
             self.refresh(name)
             found = self._stored(name)
@@ -170,10 +190,10 @@ class Lake:
 
     def refresh(self, name: str, full_refresh: bool = False) -> None:
         """Bring one stored table, or the rows of a kept view, up to date with its inputs."""
-        if name == HISTORY:
-            append_run(self.table("stg_drivers"), self._path(name), "driver_id", "updated_at")
-            return
         model, path = MODELS[name], self._path(name)
+        if model.history:
+            append_run(self.plan(name), path, *model.history)
+            return
         if model.day is None:
             df = self.plan(name)
             replace_table(df, path, model.cluster)
@@ -186,12 +206,15 @@ class Lake:
             self._kept.add(name)
 
     def build(self, full_refresh: bool = False) -> None:
-        """Refresh every stored table, inputs first, then the driver history."""
+        """Refresh every kept view and stored table, inputs first.
+
+        Tables that do not depend on each other are written at the same time, so that the last
+        tasks of one job do not leave the cluster idle.
+        """
         self._kept.clear()
-        for name, model in MODELS.items():
-            if model.stored:
-                self.refresh(name, full_refresh)
-        self.refresh(HISTORY)
+        for wave in write_waves():
+            with ThreadPoolExecutor(len(wave)) as pool:
+                list(pool.map(lambda name: self.refresh(name, full_refresh), wave))
 
     def check(self, name: str) -> DataFrame:
         """One group of data-quality checks: model, column_name, failures."""

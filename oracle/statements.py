@@ -598,9 +598,8 @@ def _checks() -> dict[str, str]:
         values = ", ".join(f"'{v}'" for v in d.ACCEPTED_VALUES[model][col])
         return f"select count(distinct {col}) from {src} where {col} not in ({values})", col
 
-    def orphan(chain, src, model, pair):
-        key, parent = pair
-        keys = _source(chain, parent)
+    def orphan(chain, src, model, key):
+        keys = _source(chain, d.RELATIONSHIPS[model][key])
         return (f"select count(*) from {src} c where c.{key} is not null and not exists "
                 f"(select 1 from {keys} p where p.{key} = c.{key})"), key
 

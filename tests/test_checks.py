@@ -9,37 +9,45 @@ from faremill.plans import declared_checks as d
 
 
 def result(df):
-    return {r.column_name: r.failures for r in df.collect()}
+    return {(r.model, r.column_name): r.failures for r in df.collect()}
 
 
 def test_row_checks(spark):
-    df = spark.createDataFrame(
-        [("completed", 1.0, 0), ("completed", -1.0, 1), ("completed", None, 0), ("cancelled", 0.0, 0)],
-        "trip_status string, x double, n long",
-    )
-    assert result(c.not_null(df, "t", ["x", "n"])) == {"x": 1, "n": 0}
-    assert result(c.at_least_zero(df, "t", ["x"])) == {"x": 1}
-    assert result(c.completed_and_not_positive(df, "t", ["x"])) == {"x": 2}
-    assert result(c.completed_and_zero(df, "t", ["n"])) == {"n": 2}
+    tables = {
+        "t": spark.createDataFrame(
+            [("completed", 1.0, 0), ("completed", -1.0, 1), ("completed", None, 0), ("cancelled", 0.0, 0)],
+            "trip_status string, x double, n long",
+        ),
+        "u": spark.createDataFrame([(None,), (None,)], "x long"),
+    }.__getitem__
+    assert result(c.not_null(tables, {"t": ["x", "n"], "u": ["x"]})) == {("t", "x"): 1, ("t", "n"): 0, ("u", "x"): 2}
+    assert result(c.at_least_zero(tables, {"t": ["x"], "u": ["x"]})) == {("t", "x"): 1, ("u", "x"): 0}
+    assert result(c.positive_when_completed(tables, {"t": ["x"]})) == {("t", "x"): 2}
+    assert result(c.not_zero_when_completed(tables, {"t": ["n"]})) == {("t", "n"): 2}
 
 
 def test_unique_counts_repeated_values_and_ignores_nulls(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 4), (None, 5), (None, 5)], "x string, y long")
-    assert result(c.unique(df, "t", ["x", "y"])) == {"x": 1, "y": 1}
-    assert result(c.unique(df.where("x = 'b'"), "t", ["x", "y"])) == {"x": 0, "y": 0}
+    tables = {"t": df, "u": df.where("x = 'b'")}.__getitem__
+    assert result(c.unique(tables, {"t": ["x", "y"], "u": ["x"]})) == {("t", "x"): 1, ("t", "y"): 1, ("u", "x"): 0}
 
 
 def test_accepted_values_counts_distinct_unwanted_values(spark):
     df = spark.createDataFrame([("a", "q"), ("z", "q"), ("z", None), ("y", "r"), (None, "q")], "x string, y string")
-    assert result(c.accepted_values(df, "t", {"x": ["a"], "y": ["q", "r"]})) == {"x": 2, "y": 0}
+    got = c.accepted_values({"t": df}.__getitem__, {"t": {"x": ["a"], "y": ["q", "r"]}})
+    assert result(got) == {("t", "x"): 2, ("t", "y"): 0}
 
 
 def test_relationships_count_child_rows(spark):
-    child = spark.createDataFrame([("a", "z"), ("z", "z"), ("z", None), (None, "a")], "k string, l string")
-    keys = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
-    lists = spark.createDataFrame([("z",)], "l string")
-    assert result(c.relationships(child, "t", {"k": keys, "l": lists})) == {"k": 2, "l": 1}
-    assert result(c.relationships(child.where("k = 'a'"), "t", {"k": keys, "l": lists})) == {"k": 0, "l": 0}
+    tables = {
+        "child": spark.createDataFrame([("a", "z"), ("z", "z"), ("z", None), (None, "a")], "k string, l string"),
+        "keys": spark.createDataFrame([("a",), ("a",), (None,)], "k string"),
+        "letters": spark.createDataFrame([("z",)], "l string"),
+    }
+    parents = {"child": {"k": "keys", "l": "letters"}}
+    assert result(c.relationships(tables.__getitem__, parents)) == {("child", "k"): 2, ("child", "l"): 1}
+    tables["child"] = tables["child"].where("k = 'a'")
+    assert result(c.relationships(tables.__getitem__, parents)) == {("child", "k"): 0, ("child", "l"): 0}
 
 
 def test_number_of_declared_checks():

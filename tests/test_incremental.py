@@ -4,6 +4,7 @@ import pytest
 from conftest import ts
 
 from faremill import Lake
+from faremill.plans.lake import MODELS, write_waves
 from faremill.sources.tables import overwrite_days, read_days, read_replaced, replace_table
 from faremill.streaming.incremental import reload_from
 
@@ -167,6 +168,19 @@ def test_incremental_equals_full_build_when_nothing_is_too_late(spark, lake, raw
         assert two.table(name).count() == full.table(name).count()
 
 
+def test_a_build_writes_inputs_first():
+    order = {name: i for i, wave in enumerate(write_waves()) for name in wave}
+    assert set(order) == {n for n, m in MODELS.items() if m.written}
+
+    def sources(name):
+        for source in MODELS[name].inputs:
+            if source in MODELS:
+                yield from [source] if MODELS[source].written else sources(source)
+
+    assert all(order[s] < order[name] for name in order for s in sources(name))
+    assert len(order) == 15
+
+
 def test_build_runs_the_whole_project_twice(lake):
     tables = dict(
         trips=[trip("1", 5), trip("2", 10)],
@@ -183,3 +197,6 @@ def test_build_runs_the_whole_project_twice(lake):
     assert one.table("drivers_snapshot").count() == 1
     assert [r.trip_id for r in one.table("fct_fraud_monitoring").collect()] == ["2"]
     assert one.plan("q03_top_drivers").first().trips_completed == 2
+    checks = {(r.check, r.model, r.column_name): r.failures for r in one.check_all().collect()}
+    assert len(checks) == 114
+    assert checks["dq_completed_has_payment", "fct_trips", "success_payment_count"] == 1
