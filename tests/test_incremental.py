@@ -178,7 +178,8 @@ def test_a_build_writes_inputs_first():
                 yield from [source] if MODELS[source].written else sources(source)
 
     assert all(order[s] < order[name] for name in order for s in sources(name))
-    assert len(order) == 15
+    # Eleven stored tables and three kept staging views.
+    assert [sum(m.stored for m in MODELS.values()), sum(m.kept for m in MODELS.values())] == [11, 3]
 
 
 def test_build_runs_the_whole_project_twice(lake):
