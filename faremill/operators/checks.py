@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ def _tagged(df: DataFrame, values: Mapping[int, Column]) -> DataFrame:
         F.when(value.isNotNull(), F.struct(F.lit(check).alias("check_id"), value.cast("string").alias("value")))
         for check, value in values.items()
     ]
-    return df.select(F.explode(F.array_compact(F.array(*rows))).alias("v")).select("v.*")
+    return df.select(F.explode(F.array(*rows)).alias("v")).where("v is not null").select("v.*")
 
 
 def _all_tagged(tables: Tables, declared: Columns, value: Callable[[str, str], Column]) -> DataFrame:
@@ -53,8 +54,16 @@ def _counted(declared: Columns, failing: DataFrame, failures: Column) -> DataFra
 
 
 def failing_rows(tables: Tables, declared: Columns, fails: Callable[[Column], Column]) -> DataFrame:
-    """Number of rows for which the failure condition on the column holds."""
-    failing = _all_tagged(tables, declared, lambda _, c: F.when(fails(F.col(c)), True))
+    """Number of rows for which the failure condition on the column holds.
+
+    Rows without a failure are filtered out first; where the statistics of a stored table rule
+    failures out, they are not even read.
+    """
+
+    def suspects(model: str) -> DataFrame:
+        return tables(model).where(reduce(or_, [fails(F.col(c)) for c in declared[model]]))
+
+    failing = _all_tagged(suspects, declared, lambda _, c: F.when(fails(F.col(c)), True))
     return _counted(declared, failing, F.count(F.lit(1)))
 
 

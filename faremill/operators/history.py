@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faremill.functions.keys import version_key
@@ -40,13 +40,9 @@ def next_versions(open_rows: DataFrame, source: DataFrame, key: str, updated_at:
     known, arrived = F.col("old").isNotNull(), F.col("new").isNotNull()
     replaced = F.coalesce(F.col(f"new.{updated_at}") > F.col("old.dbt_valid_from"), F.lit(False))
     closed = F.col("old").withField("dbt_valid_to", F.col(f"new.{updated_at}")).withField("state", F.lit(CLOSED))
-
-    def version(condition: Column, row: Column) -> Column:
-        return F.when(condition, row)
-
-    fates = F.array(
-        version(known & ~replaced, F.col("old")),
-        version(replaced, closed),
-        version(arrived & (~known | replaced), F.col("new")),
+    versions = F.array(
+        F.when(known & ~replaced, F.col("old")),
+        F.when(replaced, closed),
+        F.when(arrived & (~known | replaced), F.col("new")),
     )
-    return pairs.select(F.explode(F.array_compact(fates)).alias("v")).select("v.*")
+    return pairs.select(F.explode(versions).alias("v")).where("v is not null").select("v.*")

@@ -363,18 +363,21 @@ class Chain:
 
 # --- final selects ---------------------------------------------------------------------------
 
-#: Columns that leave as doubles rounded to 4 places, wherever they occur.
-_ROUNDED = {
+#: Decimal columns, which leave as doubles rounded to 4 places, wherever they occur.
+_AMOUNTS = {
     "estimated_fare", "actual_fare", "surge_multiplier", "rating", "amount", "processing_fee", "net_revenue",
-    "fare_variance", "surge_revenue_contribution", "payment_amount", "driver_rating", "trip_duration_minutes",
-    "lifetime_gross_revenue", "lifetime_net_revenue", "avg_fare_per_trip", "avg_trip_duration_minutes",
-    "avg_driver_rating", "total_gross_spend", "rider_ltv", "avg_fare", "gross_revenue", "total_gross_revenue",
-    "total_processing_fees", "surge_revenue", "surge_revenue_pct", "avg_surge_multiplier", "total_collected",
-    "total_failed_amount", "total_fees", "payment_failure_rate_pct", "net_collected", "online_hours",
-    "revenue_per_online_hour", "net_margin_pct", "total_deductions", "margin_pct", "avg_rating",
-    "total_online_hours", "avg_ltv", "avg_trips", "avg_days_since_last_trip", "segment_total_ltv",
-    "failure_rate_pct", "at_risk_revenue", "surge_trip_pct", "total_surge_revenue", "churn_rate_pct",
-    "avg_days_inactive", "total_net_revenue", "age_seconds", "pounds", "ratio",
+    "fare_variance", "surge_revenue_contribution", "payment_amount", "driver_rating", "lifetime_gross_revenue",
+    "lifetime_net_revenue", "avg_fare_per_trip", "avg_driver_rating", "total_gross_spend", "rider_ltv", "avg_fare",
+    "gross_revenue", "total_gross_revenue", "total_processing_fees", "surge_revenue", "surge_revenue_pct",
+    "avg_surge_multiplier", "total_collected", "total_failed_amount", "total_fees", "net_collected",
+    "net_margin_pct", "total_deductions", "margin_pct", "avg_rating", "avg_ltv", "segment_total_ltv",
+    "at_risk_revenue", "total_surge_revenue", "total_net_revenue", "ratio",
+}
+#: Columns that are doubles in the models and leave as they are.
+_DOUBLES = {
+    "trip_duration_minutes", "avg_trip_duration_minutes", "payment_failure_rate_pct", "online_hours",
+    "revenue_per_online_hour", "total_online_hours", "avg_trips", "avg_days_since_last_trip", "failure_rate_pct",
+    "surge_trip_pct", "churn_rate_pct", "avg_days_inactive", "age_seconds", "pounds",
 }
 
 
@@ -384,8 +387,11 @@ def rounded(columns: str, source: str, tail: str = "") -> str:
     for item in (c.strip() for c in columns.split(";") if c.strip()):
         expression, _, name = item.rpartition(" as ")
         expression = expression or name
-        out.append(f"cast(round({expression}, 4) as double) as {name}" if name in _ROUNDED
-                   else f"{expression} as {name}")
+        if name in _AMOUNTS:
+            expression = f"cast(round({expression}, 4) as double)"
+        elif name in _DOUBLES:
+            expression = f"cast({expression} as double)"
+        out.append(f"{expression} as {name}")
     return f"select {', '.join(out)} from {source} {tail}"
 
 
@@ -627,7 +633,7 @@ def _freshness() -> dict[str, str]:
     for name, (column, warn, error) in limits.items():
         src = chain.raw(name)
         parts.append(f"""select '{name}' as source, max_loaded_at,
-            round(date_sub('microsecond', max_loaded_at, {NOW}) / 1e6, 4) as age_seconds,
+            cast(date_sub('microsecond', max_loaded_at, {NOW}) / 1e6 as double) as age_seconds,
             case when max_loaded_at + interval {error} hour < {NOW} then 'error'
                  when max_loaded_at + interval {warn} hour < {NOW} then 'warn' else 'pass' end as status
             from (select cast(max({column}) as timestamp) as max_loaded_at from {src})""")
