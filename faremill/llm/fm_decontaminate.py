@@ -10,6 +10,7 @@ sampled suffix. The spans found are merged for each document. Nothing is shuffle
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
@@ -306,7 +307,43 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no window of the benchmark occurs, with all their columns."""
+_WORD = re.compile(rb"[^ ]+")
+
+
+def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the words of some spans and what stands between them."""
+    places = [m.span() for m in _WORD.finditer(text.translate(_TABLE))]
+    kept, at = [], 0
+    for start, end in spans:
+        kept.append(text[at : places[start][0]])
+        at = places[end - 1][1]
+    return b"".join(kept) + text[at:]
+
+
+def remove_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the words inside windows of the benchmark; ``n_chars`` follows the text.
+
+    A document that has no other words goes. Other columns and untouched rows stay as they are.
+    """
+    names, schema = docs.columns, docs.schema
+    text_at = names.index("text")
     found = find_contamination(docs, benchmark)
-    return found.where(F.size("leaks.spans") == 0).select(docs.columns)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {n: batch.column(i) for i, n in enumerate(names)}
+            out, sizes, stay = [], [], []
+            leaks = batch.column(len(names)).to_pylist()
+            for text, leak in zip(columns["text"].to_pylist(), leaks, strict=True):
+                spans = [(x["s"], x["e"]) for x in leak["spans"]]
+                stay.append(not spans or sum(e - s for s, e in spans) < leak["n_words"])
+                out.append(cut_words(text.encode(), spans).decode() if spans else text)
+                sizes.append(len(out[-1]) if spans else None)
+            columns["text"] = pa.array(out, batch.column(text_at).type)
+            if "n_chars" in columns:
+                old = columns["n_chars"].to_pylist()
+                new = [o if s is None else s for o, s in zip(old, sizes, strict=True)]
+                columns["n_chars"] = pa.array(new, columns["n_chars"].type)
+            yield pa.RecordBatch.from_pydict(columns).filter(pa.array(stay, pa.bool_()))
+
+    return found.mapInArrow(run, schema)
