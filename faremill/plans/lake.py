@@ -15,7 +15,8 @@ from faremill.operators.freshness import source_freshness
 from faremill.plans import core, intermediate, marts, reports, staging
 from faremill.plans.declared_checks import CHECKS, all_checks
 from faremill.sources.history_table import append_run, read_history
-from faremill.sources.tables import overwrite_days, read_days, read_replaced, replace_table
+from faremill.sources.runs import finished
+from faremill.sources.tables import loaded_days, overwrite_days, read_days, read_replaced, replace_table
 from faremill.streaming.incremental import reload_from, since
 
 
@@ -198,9 +199,10 @@ class Lake:
             df = self.plan(name)
             replace_table(df, path, model.cluster)
         else:
-            first_day = None if full_refresh else reload_from(self._stored(name), model.day)
+            known = not full_refresh and finished(self.spark, path)
+            first_day = reload_from(*loaded_days(self.spark, path, model.day)) if known else None
             df = self.plan(name, first_day)
-            overwrite_days(df, path, model.day, model.cluster, all_days=first_day is None)
+            overwrite_days(df, path, model.day, model.cluster, all_days=first_day is None, first_day=first_day)
         self._schemas[name] = df.schema
         if model.kept:
             self._kept.add(name)

@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 #: Bytes of input one initial shuffle partition should stand for. Adaptive execution merges
 #: partitions that turn out smaller, so the number only has to be large enough.
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _SETTINGS = {
@@ -38,16 +37,18 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def prepare(spark: SparkSession, *input_paths: str) -> SparkSession:
+def prepare(
+    spark: SparkSession, *input_paths: str, bytes_per_partition: int = BYTES_PER_SHUFFLE_PARTITION
+) -> SparkSession:
     """Apply the settings the plans rely on; give shuffles enough partitions for the input."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     if input_paths:
-        wanted = -(-input_bytes(spark, *input_paths) // BYTES_PER_SHUFFLE_PARTITION)
+        wanted = -(-input_bytes(spark, *input_paths) // bytes_per_partition)
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.conf.set(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(min(max(wanted, configured), MAX_SHUFFLE_PARTITIONS)),
+            str(max(wanted, configured)),
         )
     return spark
 

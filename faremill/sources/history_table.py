@@ -2,8 +2,9 @@
 
 Each run writes ``run=<n>/state=open`` (all open versions) and ``run=<n>/state=closed`` (only the
 versions it closed). The history is every closed row plus the open rows of the last finished run,
-so a run costs as much as the current rows, however long the history grows. An unfinished run is
-not read and is written again.
+so a run costs as much as the current rows, however long the history grows. The open rows of runs
+before the previous one are removed; the previous ones stay for readers that began earlier. An
+unfinished run is not read and is written again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.operators.history import CLOSED, OPEN, as_new_versions, next_versions
-from faremill.sources.runs import last_run
+from faremill.sources.runs import MARK_SUCCESS, drop_superseded, last_run
 
 
 def _rows(spark: SparkSession, path: str, run: int) -> DataFrame:
@@ -34,4 +35,5 @@ def append_run(source: DataFrame, path: str, key: str, updated_at: str) -> None:
         versions = next_versions(open_rows, source, key, updated_at)
     else:
         versions = as_new_versions(source, key, updated_at)
-    versions.write.mode("overwrite").partitionBy("state").parquet(f"{path}/run={run + 1}")
+    versions.write.mode("overwrite").option(*MARK_SUCCESS).partitionBy("state").parquet(f"{path}/run={run + 1}")
+    drop_superseded(spark, path, run, f"state={OPEN}")

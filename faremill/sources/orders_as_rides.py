@@ -128,7 +128,7 @@ def _trips(orders: DataFrame, customer: DataFrame, supplier: DataFrame) -> DataF
 def _payments(lineitem: DataFrame) -> DataFrame:
     amount = F.col("l_extendedprice").cast("decimal(18,2)")
     order = F.col("l_orderkey")
-    return lineitem.where("l_linenumber <= 2").select(
+    return lineitem.select(
         (order * 10 + F.col("l_linenumber")).alias("payment_id"),
         order.alias("trip_id"),
         F.when(F.col("l_returnflag") == "R", " FAILED").otherwise("success").alias("payment_status"),

@@ -37,3 +37,15 @@ def drop_runs_before(spark: SparkSession, path: str, run: int) -> None:
     for n, folder in runs.items():
         if n < run:
             files.delete(folder, True)
+
+
+def drop_superseded(spark: SparkSession, path: str, run: int, part: str) -> None:
+    """Remove one part (a subfolder) of every run before ``run``."""
+    files, new_path, runs = _runs(spark, path)
+    for n, folder in runs.items():
+        if n < run and files.exists(new_path(folder, part)):
+            files.delete(new_path(folder, part), True)
+
+
+#: Writer option that asks for ``_SUCCESS`` whatever the cluster's own setting.
+MARK_SUCCESS = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from faremill.sources.runs import drop_runs_before, finished, last_run
+from faremill.sources.runs import MARK_SUCCESS, drop_runs_before, finished, last_run
 
 
 def _parquet(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
@@ -31,7 +32,7 @@ def replace_table(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None
     spark = df.sparkSession
     run = last_run(spark, path) + 1
     rows = df.sortWithinPartitions(*cluster) if cluster else df
-    rows.write.mode("overwrite").parquet(f"{path}/run={run}")
+    rows.write.mode("overwrite").option(*MARK_SUCCESS).parquet(f"{path}/run={run}")
     drop_runs_before(spark, path, run - 1)
 
 
@@ -59,17 +60,55 @@ def clustered_by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFra
     return df.hint("rebalance", day).sortWithinPartitions(day, *cluster)
 
 
-def overwrite_days(df: DataFrame, path: str, day: str, cluster: Sequence[str], *, all_days: bool) -> None:
-    """Replace the days present in ``df``, or the whole table.
+#: A load of days leaves an empty file of this name and its first day until it has ended. Spark's
+#: readers skip names that start with an underscore.
+LOADING = "_loading-"
 
-    Files are staged and moved in when the job commits, and running the same batch again gives the
-    same table, so a failed load is simply repeated. A failed rewrite of the whole table leaves no
-    success mark, and the next load builds the table in full.
+
+def _folder(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, root, hadoop.Path
+
+
+def loaded_days(spark: SparkSession, path: str, day: str) -> tuple[dt.date | None, dt.date | None]:
+    """The newest day that has files, and the first day of a load that did not end, if there is one.
+
+    Both come from the names of folders and files; no job is started.
+    """
+    files, root, _ = _folder(spark, path)
+    if not files.exists(root):
+        return None, None
+    names = {s.getPath().getName(): s.getPath() for s in files.listStatus(root)}
+    open_loads = [dt.date.fromisoformat(n.removeprefix(LOADING)) for n in names if n.startswith(LOADING)]
+    for name in sorted((n for n in names if n.startswith(f"{day}=2") or n.startswith(f"{day}=1")), reverse=True):
+        if any(s.isFile() and s.getLen() for s in files.listStatus(names[name])):
+            return dt.date.fromisoformat(name.removeprefix(f"{day}=")), min(open_loads, default=None)
+    return None, min(open_loads, default=None)
+
+
+def overwrite_days(
+    df: DataFrame, path: str, day: str, cluster: Sequence[str], *, all_days: bool, first_day: dt.date | None = None
+) -> None:
+    """Replace the days present in ``df`` (those from ``first_day`` on), or the whole table.
+
+    Files are staged and moved in day by day when the job commits. If that is cut short, the mark of the
+    open load stays, and the next load starts no later than its first day. A failed rewrite of the
+    whole table leaves no success mark, and the next load builds the table in full.
     """
+    spark = df.sparkSession
+    files, root, new_path = _folder(spark, path)
+    if not all_days and first_day is not None:
+        files.create(new_path(root, f"{LOADING}{first_day.isoformat()}"), True).close()
     (
         clustered_by_day(df, day, cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if all_days else "dynamic")
+        .option(*MARK_SUCCESS)
         .partitionBy(day)
         .parquet(path)
     )
+    for status in files.listStatus(root):
+        if status.getPath().getName().startswith(LOADING):
+            files.delete(status.getPath(), False)

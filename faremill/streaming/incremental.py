@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 LOOKBACK = dt.timedelta(days=1)
 
 
-def reload_from(target: DataFrame | None, day: str) -> dt.date | None:
-    """First day to load again: the day before the newest loaded one.
+def reload_from(newest: dt.date | None, unfinished: dt.date | None = None) -> dt.date | None:
+    """First day to load again: the day before the newest one that has rows.
 
-    None means load everything: there is no target, or it is empty. Only this one value comes to
-    the driver. It then reaches the scans as a literal, which prunes partitions and row groups.
+    A load that did not end may have left out any of its days, so the next one starts no later than its
+    first day. None means load everything: the target has no rows. The day reaches the scans as a
+    literal, which prunes partitions and row groups.
     """
-    if target is None:
+    if newest is None:
         return None
-    newest = target.agg(F.max(day)).first()[0]
-    return None if newest is None else newest - LOOKBACK
+    first = newest - LOOKBACK
+    return first if unfinished is None else min(first, unfinished)
 
 
 def since(df: DataFrame, column: str, first: dt.date | None) -> DataFrame:

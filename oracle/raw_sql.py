@@ -56,7 +56,7 @@ select l_orderkey * 10 + l_linenumber as payment_id, l_orderkey as trip_id,
  cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2)) as fee,
  case when l_suppkey % 2 = 0 then 'gbp' else ' NGN' end as currency,
  timestamp '2024-01-01 00:00:00' + interval '1' day * (l_orderkey % 30) + interval '1' second * (l_partkey * 37 % 86400) as created_at
- from lineitem where l_linenumber <= 2
+ from lineitem
 """
 
 EVENTS = """

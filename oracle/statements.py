@@ -215,10 +215,10 @@ class Chain:
             strftime(rider_signup_date, '%Y-%m') as signup_cohort
             from {trips} where trip_status = 'completed' group by all""")
         return self.add("int_rider_lifetime_value", f"""select *, referral_code is not null as is_referred,
-            case when total_trips > 19 and days_since_last_trip < 31 then 'champion'
-                 when total_trips > 9 and days_since_last_trip < 61 then 'loyal'
-                 when days_since_last_trip < 31 then 'recent'
-                 when days_since_last_trip < 91 then 'at_risk' else 'churned' end as rider_segment from {sums}""")
+            case when total_trips >= 20 and days_since_last_trip <= 30 then 'champion'
+                 when total_trips >= 10 and days_since_last_trip <= 60 then 'loyal'
+                 when days_since_last_trip <= 30 then 'recent'
+                 when days_since_last_trip <= 90 then 'at_risk' else 'churned' end as rider_segment from {sums}""")
 
     # core
     def fct_trips(self, s: str = "") -> str:
@@ -239,8 +239,8 @@ class Chain:
             coalesce(l.lifetime_net_revenue, {dec('0')}) as lifetime_net_revenue,
             l.avg_fare_per_trip, l.avg_trip_duration_minutes, l.first_trip_date, l.last_trip_date, l.corporate_trips,
             l.personal_trips, l.days_since_last_trip, l.is_churned, l.last_online_at,
-            case when l.lifetime_trips > 499 then 'platinum' when l.lifetime_trips > 199 then 'gold'
-                 when l.lifetime_trips > 49 then 'silver' else 'bronze' end as driver_tier, d.created_at, d.updated_at
+            case when l.lifetime_trips >= 500 then 'platinum' when l.lifetime_trips >= 200 then 'gold'
+                 when l.lifetime_trips >= 50 then 'silver' else 'bronze' end as driver_tier, d.created_at, d.updated_at
             from {d} d left join {c} c on c.city_id = d.city_id left join {l} l on l.driver_id = d.driver_id""")
 
     def dim_riders(self) -> str:

