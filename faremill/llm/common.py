@@ -53,14 +53,16 @@ def texts(column: pa.Array) -> list[str]:
 
 
 def by_batch(
-    df: DataFrame, schema: str | StructType, work: Callable[[pa.RecordBatch], dict | None]
+    df: DataFrame, schema: str | StructType, work: Callable[[pa.RecordBatch], dict | None], rows: int | None = None
 ) -> DataFrame:
-    """One output batch for each Arrow batch; ``work`` gives the columns by name, in schema order."""
+    """One output batch for each Arrow batch, or each ``rows`` rows of it; ``work`` gives the columns
+    by name, in schema order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (columns := work(batch)) is not None:
-                yield pa.RecordBatch.from_pydict(columns)
+            for start in range(0, batch.num_rows, rows or batch.num_rows or 1):
+                if (columns := work(batch.slice(start, rows))) is not None:
+                    yield pa.RecordBatch.from_pydict(columns)
 
     return df.mapInArrow(run, schema)
 

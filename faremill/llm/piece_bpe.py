@@ -23,7 +23,9 @@ from faremill.llm.common import by_batch, texts
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
 #: Words whose ids a worker keeps. The store is emptied when full; results do not depend on it.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
+#: Texts whose ids are in memory at once; bounds a worker's memory, not the result.
+TEXTS = 256
 
 
 class PieceEncoder:
@@ -209,4 +211,4 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
         }
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return by_batch(docs.select("doc_id", "text"), f"doc_id {kind}, ids binary, decoded string", work)
+    return by_batch(docs.select("doc_id", "text"), f"doc_id {kind}, ids binary, decoded string", work, TEXTS)
