@@ -25,31 +25,30 @@ from faremill.llm.common import by_batch, stored, texts
 SENTENCES, WORDS = 3, 20
 LONG, ANCHOR = 24, 8
 _WORD = re.compile(r"\S+")
+#: The end of a line, or of a word that closes a sentence.
+_END = re.compile(r"\n|\Z|[.!?…][\"'”’)\]]*+(?!\S)")
 
 
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """Start, end (code points) and the words, joined by one space, of each sentence."""
-    found = []
-    for line in re.finditer(r"[^\n]+", text):
-        words = [(m.start() + line.start(), m.end() + line.start(), m[0]) for m in _WORD.finditer(line[0])]
-        start = 0
-        for i, (_, _, word) in enumerate(words):
-            if i + 1 == len(words) or word.rstrip("\"'”’)]")[-1:] in (".", "!", "?", "…"):
-                found += _cut(words[start : i + 1])
-                start = i + 1
+    found, start = [], 0
+    for m in _END.finditer(text):
+        part = text[start : m.end()]
+        if words := part.split():
+            if len(words) > LONG:
+                found += _cut(text, start, m.end())
+            else:
+                found.append((m.end() - len(part.lstrip()), start + len(part.rstrip()), " ".join(words)))
+        start = m.end()
     return found
 
 
-def _cut(words: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    ends = [len(words)]
-    if len(words) > LONG:
-        ends = [i + 1 for i, w in enumerate(words) if zlib.crc32(w[2].encode()) % ANCHOR == 0 or i + 1 == len(words)]
-    out, start = [], 0
-    for end in ends:
-        part = words[start:end]
-        out.append((part[0][0], part[-1][1], " ".join(w[2] for w in part)))
-        start = end
-    return out
+def _cut(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """The parts of a long sentence."""
+    words = list(_WORD.finditer(text, start, end))
+    ends = [i + 1 for i, w in enumerate(words) if zlib.crc32(w[0].encode()) % ANCHOR == 0 or i + 1 == len(words)]
+    parts = [words[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    return [(p[0].start(), p[-1].end(), " ".join(w[0] for w in p)) for p in parts]
 
 
 def spans(parts: list[tuple[int, int, str]]) -> list[tuple[int, int, bytes]]:
@@ -100,10 +99,8 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     found = stored(_all_spans(rows), "spans")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "start")
-    repeated = stored(
-        found.groupBy("hash").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first < last").select("hash", "first"),
-        "repeated",
-    )
+    counted = found.groupBy("hash").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    repeated = stored(counted.where("n > 1").select("hash", "first"), "repeated")
     later = (
         found.join(repeated, "hash")
         .where(order > F.col("first"))
