@@ -67,6 +67,15 @@ def by_batch(
     return df.mapInArrow(run, schema)
 
 
+#: Bytes of one Arrow batch that operators take texts in: bounds a worker's memory, not the result.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by bytes; Spark's own bound of 64 MB holds before this."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def held_out(doc_id: str, modulus: int) -> F.Column:
     """Whether crc32 of the id as text is a multiple of ``modulus``; a null id counts as empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

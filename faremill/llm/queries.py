@@ -15,8 +15,11 @@ from faremill.llm import (
     near_duplicates,
     page_text,
     pii_boost,
+    rtree_negatives,
     secret_scan,
     sentence_spans,
+    sequence_packing,
+    trie_variants,
 )
 from faremill.llm.piece_bpe import encode_documents
 
@@ -77,6 +80,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rtree_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sequence_packing.pack_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +114,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_personal_data": op8,
         "op9_near_duplicates": op9,
         "op10_page_text": op10,
+        "op11_spelling_variants": op11,
+        "op12_hard_negatives": op12,
+        "op13_sequence_packing": op13,
         "pipeline": pipeline,
     }
 
@@ -164,6 +186,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j JOIN verdict USING (host)
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_dot_product(a.vec, b.vec) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 50 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op5_host_rules": HOST_RULES}
+    return {
+        "op4_decontamination": DECONTAMINATION,
+        "op5_host_rules": HOST_RULES,
+        "op12_hard_negatives": HARD_NEGATIVES,
+    }
