@@ -3,8 +3,9 @@
 Pieces are dealt evenly to parts of bounded size and each part is packed by best-fit decreasing.
 Dual feasible functions bound from below how many sequences any packing of the part needs; a part
 that reaches its bound is certified, and all but its emptiest sequence are final. Parts with a gap
-keep the sequences that are exactly full. Everything else is exchanged: dealt anew, to as few
-parts as it needs, and packed again, as long as that saves sequences.
+exchange their pieces, and those of the emptiest sequences: all are dealt anew, to as few parts as
+they need, and packed again. A round counts if it saves sequences; rounds end when what is left
+reaches the bound of one whole packing.
 """
 
 from __future__ import annotations
@@ -179,7 +180,7 @@ def _packed(pool: DataFrame, parts: int, turn: int, capacity: int) -> DataFrame:
             exchanged = np.arange(len(room)) == room.argmax()
             exchanged &= room > 0
         else:
-            exchanged = room > 0
+            exchanged = np.ones(len(room), bool)
         return pa.table({"nr": nr, "size": size, "sequence_id": heads[at], "offset": offset, "open": exchanged[at]})
 
     dealt = pool.select("nr", "size", F.pmod(F.xxhash64("nr", F.lit(turn)), F.lit(parts)).alias("part"))
@@ -219,9 +220,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, part: int = PART, r
             break
         parts = -(-number // part)
         found = stored(_packed(pool, parts, turn, capacity), "packed")
-        if best is not None and found.where("offset = 0").count() >= best.where("offset = 0").count():
-            break
         if best is not None:
+            if found.where("offset = 0").count() >= best.where("offset = 0").count():
+                continue
             placed.pop()
         placed += [found.where("not open"), found.where("open")]
         best = found.where("open")

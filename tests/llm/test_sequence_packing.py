@@ -96,18 +96,22 @@ def test_bound_holds_and_best_fit_comes_close():
     assert packing.least_sequences(np.bincount([6] * 10, minlength=11), 10) == 10
 
 
-@pytest.mark.parametrize("part", [50_000, 40])
+@pytest.mark.parametrize("part", [50_000, 150])
 def test_parts_exchange_until_the_bound(spark, part):
     rng = random.Random(part)
-    pieces = spark.createDataFrame([(i, rng.randrange(1, 60), "same") for i in range(900)] + [(-1, 64, "full")] * 3, "k long, length long, nr string")
-    rows = packing.pack_pieces(pieces, 64, part, 20).collect()
-    assert sorted((r.k, r.length) for r in rows) == sorted((r.k, r.length) for r in pieces.collect())
-    counts = np.bincount([r.length for r in rows], minlength=65)
-    bound = packing.least_sequences(counts, 64)
-    used = len(sequences(rows, 64))
-    assert used <= bound + (2 if part > 900 else 12)
-    if part < 900:
-        assert used <= len(sequences(packing.pack_pieces(pieces, 64, part, 0).collect(), 64))
+    lengths = [min(60, 1 + int(rng.expovariate(1 / 12))) for _ in range(900)]
+    pieces = spark.createDataFrame([*enumerate(lengths), *[(-1, 64)] * 3], "nr long, length long")
+    rows = packing.pack_pieces(pieces, 64, part).collect()
+    assert sorted((r.nr, r.length) for r in rows) == sorted((r.nr, r.length) for r in pieces.collect())
+    bound = packing.least_sequences(np.bincount([r.length for r in rows], minlength=65), 64)
+    assert len(sequences(rows, 64)) <= bound + (part < 900)
+
+
+def test_exchange_saves_sequences_that_small_parts_waste(spark):
+    rng = random.Random(40)
+    pieces = spark.createDataFrame([(i, rng.randrange(1, 60)) for i in range(900)], "k long, length long")
+    used = [len(sequences(packing.pack_pieces(pieces, 64, 40, rounds).collect(), 64)) for rounds in (0, 6)]
+    assert used[1] < used[0] - 5
 
 
 def test_equal_rows_spread_and_odd_lengths_fail(spark):
