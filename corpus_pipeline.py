@@ -2,46 +2,44 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from faremill.llm.common import stored
+from faremill.llm.common import small_batches, stored
 from faremill.llm.fm_decontaminate import remove_contamination
 from faremill.llm.host_rules import keep_good
 from faremill.llm.near_duplicates import keep_first
-from faremill.llm.piece_bpe import encode_documents
+from faremill.llm.queries import piece_digests
 from faremill.llm.secret_scan import redact_secrets
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail their own rules or come from a rejected host go."""
+    small_batches(spark)
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
+    small_batches(spark)
     return keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside windows of the benchmark go; documents that have no others go too."""
+    small_batches(spark)
     return remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets that look live are replaced by a mark."""
+    small_batches(spark)
     return redact_secrets(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and digests of the ids and of the text they decode to."""
-    return encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).select(
-        "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    small_batches(spark)
+    return piece_digests(docs)
 
 
 STAGES = [
@@ -52,7 +50,7 @@ STAGES = [
     ("tokenize", tokenize),
 ]
 
-#: SQL cannot express the encoding; tests compare the stages with plain versions.
+#: SQL cannot express the encoding; ``tests/llm/test_pipeline.py`` compares the stages with plain versions.
 ORACLE_SQL = None
 
 
