@@ -1,8 +1,9 @@
-"""Data-quality checks: ``model, column_name, failures``, one row per declared column.
+"""Data-quality checks: ``model, column_name, failures``, one row per declared column, and the failing rows.
 
-Each function takes all its tables at once. Values under check are laid out as rows tagged with
-the number of their check, so however many tables and columns are declared, a table is passed over
-once and the whole group shares one aggregation.
+However many columns of a table are declared, conditions on its rows are counted in one
+aggregate over one pass, repeated and unwanted values in one pass over the columns concerned, and all
+foreign keys of a table in one pass; a table that others refer to is read once for all of them. Counts
+are laid out as rows only after they have shrunk to one row per table.
 """
 
 from __future__ import annotations
@@ -16,101 +17,177 @@ from pyspark.sql import functions as F
 
 Tables = Callable[[str], DataFrame]
 Columns = Mapping[str, Iterable[str]]
+Fails = Callable[[Column], Column]
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _numbered(declared: Columns) -> dict[tuple[str, str], int]:
-    pairs = [(model, column) for model, columns in declared.items() for column in columns]
-    return {pair: number for number, pair in enumerate(pairs)}
+def _laid_out(counts: DataFrame, names: Sequence[tuple[str, ...]], columns: str) -> DataFrame:
+    """One row of counts ``c0, c1, ...`` as a row for each count, under its names."""
+    rows = ", ".join(", ".join(f"'{n}'" for n in name) + f", coalesce(c{i}, 0L)" for i, name in enumerate(names))
+    return counts.selectExpr(f"stack({len(names)}, {rows}) as ({columns}, failures)")
 
 
-def _tagged(df: DataFrame, values: Mapping[int, Column]) -> DataFrame:
-    """Non-null values as rows ``check_id, value``."""
-    rows = [
-        F.when(value.isNotNull(), F.struct(F.lit(check).alias("check_id"), value.cast("string").alias("value")))
-        for check, value in values.items()
-    ]
-    return df.select(F.explode(F.array(*rows)).alias("v")).where("v is not null").select("v.*")
+def _counted(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
+    return df.agg(*[F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(conditions)])
 
 
-def _all_tagged(tables: Tables, declared: Columns, value: Callable[[str, str], Column]) -> DataFrame:
-    numbers = _numbered(declared)
-    return union_all(
-        [_tagged(tables(m), {numbers[m, c]: value(m, c) for c in columns}) for m, columns in declared.items()]
-    )
+# --- conditions on rows ----------------------------------------------------------------------
 
 
-def _counted(declared: Columns, failing: DataFrame, failures: Column) -> DataFrame:
-    """Failures per declared column, 0 where nothing fails."""
-    rows = ", ".join(f"({number}, '{model}', '{column}')" for (model, column), number in _numbered(declared).items())
-    names = failing.sparkSession.sql(f"select * from values {rows} as checks(check_id, model, column_name)")
-    counts = failing.groupBy("check_id").agg(failures.alias("failures"))
-    return names.join(counts, "check_id", "left").select(
-        "model", "column_name", F.coalesce("failures", F.lit(0)).alias("failures")
-    )
+def is_missing(c: Column) -> Column:
+    return c.isNull()
 
 
-def failing_rows(tables: Tables, declared: Columns, fails: Callable[[Column], Column]) -> DataFrame:
-    """Number of rows for which the failure condition on the column holds.
+def is_negative(c: Column) -> Column:
+    """Null passes."""
+    return c < 0
 
-    Rows without a failure are filtered out first; where the statistics of a stored table rule
-    failures out, they are not even read.
-    """
 
-    def suspects(model: str) -> DataFrame:
-        return tables(model).where(reduce(or_, [fails(F.col(c)) for c in declared[model]]))
+def _if_completed(condition: Column) -> Column:
+    return (F.col("trip_status") == "completed") & condition
 
-    failing = _all_tagged(suspects, declared, lambda _, c: F.when(fails(F.col(c)), True))
-    return _counted(declared, failing, F.count(F.lit(1)))
 
+def is_not_positive_when_completed(c: Column) -> Column:
+    return _if_completed(c.isNull() | (c <= 0))
 
-def not_null(tables: Tables, declared: Columns) -> DataFrame:
-    return failing_rows(tables, declared, Column.isNull)
 
+def is_zero_when_completed(c: Column) -> Column:
+    return _if_completed(c == 0)
 
-def at_least_zero(tables: Tables, declared: Columns) -> DataFrame:
-    """Fails for negative values; null passes."""
-    return failing_rows(tables, declared, lambda c: c < 0)
 
+def count_failing_rows(tables: Tables, checks: Mapping[str, tuple[Columns, Fails]]) -> DataFrame:
+    """``check, model, column_name, failures`` of several checks: one aggregate for each table."""
+    by_table: dict[str, list[tuple[str, str, Fails]]] = {}
+    for check, (declared, fails) in checks.items():
+        for model, columns in declared.items():
+            by_table.setdefault(model, []).extend((check, c, fails) for c in columns)
+    return union_all(
+        [
+            _laid_out(
+                _counted(tables(model), [fails(F.col(c)) for _, c, fails in items]),
+                [(check, model, c) for check, c, _ in items],
+                "check, model, column_name",
+            )
+            for model, items in by_table.items()
+        ]
+    )
+
+
+def _one(tables: Tables, declared: Columns, fails: Fails) -> DataFrame:
+    return count_failing_rows(tables, {"": (declared, fails)}).drop("check")
 
-def _if_completed(condition: Column) -> Column:
-    return (F.col("trip_status") == "completed") & condition
+
+def not_null(tables: Tables, declared: Columns) -> DataFrame:
+    return _one(tables, declared, is_missing)
+
+
+def at_least_zero(tables: Tables, declared: Columns) -> DataFrame:
+    return _one(tables, declared, is_negative)
 
 
 def positive_when_completed(tables: Tables, declared: Columns) -> DataFrame:
-    return failing_rows(tables, declared, lambda c: _if_completed(c.isNull() | (c <= 0)))
+    return _one(tables, declared, is_not_positive_when_completed)
 
 
 def not_zero_when_completed(tables: Tables, declared: Columns) -> DataFrame:
-    return failing_rows(tables, declared, lambda c: _if_completed(c == 0))
+    return _one(tables, declared, is_zero_when_completed)
+
+
+# --- values ----------------------------------------------------------------------------------
+
+
+def _by_value(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each value of each column and its number of rows ``n``; the other columns are null.
+
+    Grouping sets go over the rows once and combine before the shuffle.
+    """
+    return df.groupingSets([[c] for c in columns], *columns).agg(
+        F.count("*").alias("n"), *[F.grouping(c).alias(f"_other{i}") for i, c in enumerate(columns)]
+    )
+
+
+def _is_value(columns: Sequence[str], i: int) -> Column:
+    return (F.col(f"_other{i}") == 0) & F.col(columns[i]).isNotNull()
 
 
 def unique(tables: Tables, declared: Columns) -> DataFrame:
     """Number of values that occur more than once; nulls do not count."""
-    values = _all_tagged(tables, declared, lambda _, c: F.col(c))
-    repeated = values.groupBy("check_id", "value").count().where("count > 1")
-    return _counted(declared, repeated, F.count(F.lit(1)))
+
+    def of(model: str, columns: list[str]) -> DataFrame:
+        values = _by_value(tables(model).select(*columns), columns)
+        repeated = [_is_value(columns, i) & (F.col("n") > 1) for i in range(len(columns))]
+        return _laid_out(_counted(values, repeated), [(model, c) for c in columns], "model, column_name")
+
+    return union_all([of(model, list(columns)) for model, columns in declared.items()])
 
 
 def accepted_values(tables: Tables, allowed: Mapping[str, Mapping[str, Sequence[str]]]) -> DataFrame:
     """Number of distinct values outside the list; null passes."""
-    unwanted = _all_tagged(tables, allowed, lambda m, c: F.when(~F.col(c).isin(*allowed[m][c]), F.col(c)))
-    return _counted(allowed, unwanted.distinct(), F.count(F.lit(1)))
+
+    def of(model: str, lists: Mapping[str, Sequence[str]]) -> DataFrame:
+        columns = list(lists)
+        unwanted = [~F.col(c).isin(*lists[c]) for c in columns]
+        values = _by_value(tables(model).select(*columns).where(reduce(or_, unwanted)), columns)
+        counts = _counted(values, [_is_value(columns, i) & u for i, u in enumerate(unwanted)])
+        return _laid_out(counts, [(model, c) for c in columns], "model, column_name")
+
+    return union_all([of(model, lists) for model, lists in allowed.items()])
 
 
 def relationships(tables: Tables, parents: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Rows whose non-null key is missing from the parent's column of the same name.
 
-    Both sides shrink to distinct keys before the join, so a key that fills a third of a table
-    crosses the network once per task.
+    Children and parents meet in one aggregation by parent and key, which combines before the shuffle, so
+    a key that fills a third of a table crosses the network once per task. Each child is read once for
+    all its keys, and each parent once for all its children.
     """
-    numbers = _numbered(parents)
-    keys = _all_tagged(tables, parents, lambda _, c: F.col(c)).groupBy("check_id", "value").count()
-    known = union_all(
-        [_tagged(tables(parents[m][c]), {number: F.col(c)}) for (m, c), number in numbers.items()]
-    ).distinct()
-    missing = keys.join(known, ["check_id", "value"], "left_anti")
-    return _counted(parents, missing, F.sum("count"))
+    pairs = [(model, key) for model, keys in parents.items() for key in keys]
+
+    def named(parent: str, key: str) -> Column:
+        return F.lit(f"{parent}.{key}")
+
+    def keys_of(model: str) -> DataFrame:
+        rows = [
+            x
+            for key, parent in parents[model].items()
+            for x in (F.lit(pairs.index((model, key))), named(parent, key), F.col(key).cast("string"))
+        ]
+        return tables(model).select(F.stack(F.lit(len(parents[model])), *rows).alias("number", "parent", "key"))
+
+    known = [
+        tables(parent).select(F.lit(-1).alias("number"), named(parent, key).alias("parent"), F.col(key).cast("string").alias("key"))
+        for parent, key in dict.fromkeys((p, k) for keys in parents.values() for k, p in keys.items())
+    ]
+    rows = union_all([*[keys_of(model) for model in parents], *known]).where("key is not null")
+    by_key = rows.groupBy("parent", "key").agg(
+        F.bool_or(F.col("number") == -1).alias("known"),
+        *[F.count_if(F.col("number") == i).alias(f"n{i}") for i in range(len(pairs))],
+    )
+    counts = by_key.where("not known").agg(*[F.sum(f"n{i}").alias(f"c{i}") for i in range(len(pairs))])
+    return _laid_out(counts, pairs, "model, column_name")
+
+
+# --- what fails ------------------------------------------------------------------------------
+
+
+def rows_where(fails: Fails) -> Callable[[Tables, str, str], DataFrame]:
+    """The rows of a table for which the condition on the column holds."""
+    return lambda tables, model, column: tables(model).where(fails(F.col(column)))
+
+
+def repeated_values(tables: Tables, model: str, column: str) -> DataFrame:
+    """The values that occur more than once, and how often."""
+    return tables(model).where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_records")).where("n_records > 1")
+
+
+def unwanted_values(tables: Tables, model: str, column: str, allowed: Sequence[str]) -> DataFrame:
+    """The values outside the list, and how often they occur."""
+    return tables(model).where(~F.col(column).isin(*allowed)).groupBy(column).agg(F.count("*").alias("n_records"))
+
+
+def orphans(tables: Tables, model: str, key: str, parent: str) -> DataFrame:
+    """The rows whose non-null key the parent does not have."""
+    return tables(model).where(F.col(key).isNotNull()).join(tables(parent).select(key), key, "left_anti")

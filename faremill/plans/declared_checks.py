@@ -107,18 +107,63 @@ POSITIVE_TRIP_DURATION = {"fct_trips": ["trip_duration_minutes"]}
 COMPLETED_HAS_PAYMENT = {"fct_trips": ["success_payment_count"]}
 
 
-CHECKS: dict[str, Callable[[c.Tables], DataFrame]] = {
-    "dq_not_null": lambda tables: c.not_null(tables, NOT_NULL),
-    "dq_unique": lambda tables: c.unique(tables, UNIQUE),
-    "dq_accepted_values": lambda tables: c.accepted_values(tables, ACCEPTED_VALUES),
-    "dq_relationships": lambda tables: c.relationships(tables, RELATIONSHIPS),
-    "dq_expression_is_true": lambda tables: c.at_least_zero(tables, EXPRESSION_IS_TRUE),
-    "dq_no_negative_revenue": lambda tables: c.at_least_zero(tables, NO_NEGATIVE_REVENUE),
-    "dq_positive_trip_duration": lambda tables: c.positive_when_completed(tables, POSITIVE_TRIP_DURATION),
-    "dq_completed_has_payment": lambda tables: c.not_zero_when_completed(tables, COMPLETED_HAS_PAYMENT),
+#: Checks that are conditions on single rows: declared columns and what fails.
+ROW_CHECKS: dict[str, tuple[c.Columns, c.Fails]] = {
+    "dq_not_null": (NOT_NULL, c.is_missing),
+    "dq_expression_is_true": (EXPRESSION_IS_TRUE, c.is_negative),
+    "dq_no_negative_revenue": (NO_NEGATIVE_REVENUE, c.is_negative),
+    "dq_positive_trip_duration": (POSITIVE_TRIP_DURATION, c.is_not_positive_when_completed),
+    "dq_completed_has_payment": (COMPLETED_HAS_PAYMENT, c.is_zero_when_completed),
 }
 
+#: Checks that compare values over a table or between tables, and their declarations.
+VALUE_CHECKS: dict[str, tuple[Callable[..., DataFrame], dict]] = {
+    "dq_unique": (c.unique, UNIQUE),
+    "dq_accepted_values": (c.accepted_values, ACCEPTED_VALUES),
+    "dq_relationships": (c.relationships, RELATIONSHIPS),
+}
+
+CHECKS: tuple[str, ...] = (*ROW_CHECKS, *VALUE_CHECKS)
+
+
+def checked_tables(name: str) -> list[str]:
+    """The tables that a check reads."""
+    declared = ROW_CHECKS[name][0] if name in ROW_CHECKS else VALUE_CHECKS[name][1]
+    parents = [p for keys in RELATIONSHIPS.values() for p in keys.values()] if name == "dq_relationships" else []
+    return list(dict.fromkeys([*declared, *parents]))
+
+
+def run_check(name: str, tables: c.Tables) -> DataFrame:
+    """``model, column_name, failures`` of one check."""
+    if name in ROW_CHECKS:
+        return c.count_failing_rows(tables, {name: ROW_CHECKS[name]}).drop("check")
+    run, declared = VALUE_CHECKS[name]
+    return run(tables, declared)
+
+
+def all_checks(tables: c.Tables, model: str | None = None) -> DataFrame | None:
+    """``check, model, column_name, failures`` of every check, or of those on one table (None without any)."""
+
+    def chosen(declared: dict) -> dict:
+        return {m: declared[m] for m in declared if model in (None, m)}
+
+    by_row = {name: (chosen(declared), fails) for name, (declared, fails) in ROW_CHECKS.items() if chosen(declared)}
+    parts = [c.count_failing_rows(tables, by_row)] if by_row else []
+    for name, (run, declared) in VALUE_CHECKS.items():
+        if chosen(declared):
+            parts.append(run(tables, chosen(declared)).select(F.lit(name).alias("check"), "*"))
+    return c.union_all(parts) if parts else None
+
 
-def all_checks(tables: c.Tables) -> DataFrame:
-    """Every check in one job, so that Spark shuffles a table that several groups read only once."""
-    return c.union_all([run(tables).select(F.lit(name).alias("check"), "*") for name, run in CHECKS.items()])
+def failing(name: str, tables: c.Tables, model: str, column: str) -> DataFrame:
+    """What fails one check of one column: rows, or values and how often they occur. Nothing runs yet."""
+    declared = ROW_CHECKS[name][0] if name in ROW_CHECKS else VALUE_CHECKS[name][1]
+    if column not in declared.get(model, ()):
+        raise ValueError(f"{name} is not declared for {model}.{column}")
+    if name in ROW_CHECKS:
+        return c.rows_where(ROW_CHECKS[name][1])(tables, model, column)
+    if name == "dq_unique":
+        return c.repeated_values(tables, model, column)
+    if name == "dq_accepted_values":
+        return c.unwanted_values(tables, model, column, ACCEPTED_VALUES[model][column])
+    return c.orphans(tables, model, column, RELATIONSHIPS[model][column])

@@ -32,11 +32,23 @@ def fct_daily_revenue(trips: DataFrame, cities: DataFrame) -> DataFrame:
     names = cities.select("city_id", "city_name", "country")
     return daily.join(names, "city_id", "left").select(
         surrogate_key("trip_date", "city_id", "trip_type").alias("fct_daily_revenue_sk"),
-        *["trip_date", "city_id", "city_name", "country", "trip_type", "total_trips"],
-        *["gross_revenue", "net_revenue", "total_processing_fees", "surge_revenue"],
+        "trip_date",
+        "city_id",
+        "city_name",
+        "country",
+        "trip_type",
+        "total_trips",
+        "gross_revenue",
+        "net_revenue",
+        "total_processing_fees",
+        "surge_revenue",
         n.money_percent(F.col("surge_revenue"), F.col("gross_revenue"), 2).alias("surge_revenue_pct"),
-        *["avg_surge_multiplier", "avg_trip_duration_minutes", "avg_fare"],
-        *["extreme_surge_trips", "duplicate_payment_trips", "fraud_suspect_trips"],
+        "avg_surge_multiplier",
+        "avg_trip_duration_minutes",
+        "avg_fare",
+        "extreme_surge_trips",
+        "duplicate_payment_trips",
+        "fraud_suspect_trips",
     )
 
 
@@ -89,8 +101,15 @@ def fct_driver_activity(trips: DataFrame, events: DataFrame) -> DataFrame:
     revenue_rate = n.safe_divide(F.col("gross_revenue"), n.numeric(F.col("online_hours"))).cast("double")
     return work.join(daily_online_hours(events), ["driver_id", "activity_date"], "left").select(
         surrogate_key("driver_id", "activity_date").alias("fct_driver_activity_sk"),
-        *["driver_id", "city_id", "activity_date", "trips_completed", "gross_revenue", "net_revenue"],
-        *["avg_trip_duration_minutes", "corporate_trips", "surge_trips"],
+        "driver_id",
+        "city_id",
+        "activity_date",
+        "trips_completed",
+        "gross_revenue",
+        "net_revenue",
+        "avg_trip_duration_minutes",
+        "corporate_trips",
+        "surge_trips",
         F.coalesce("online_hours", F.lit(0.0)).alias("online_hours"),
         revenue_rate.alias("revenue_per_online_hour"),
     )
@@ -118,11 +137,27 @@ def fct_fraud_monitoring(trips: DataFrame, drivers: DataFrame, riders: DataFrame
             "left",
         )
         .select(
-            *["trip_id", "trip_date", "city_id", "driver_id", "rider_id", "trip_status"],
-            *["gross_revenue", "net_revenue", "surge_multiplier", "payment_method", "payment_status"],
-            *["is_extreme_surge", "has_duplicate_payment", "is_completed_without_payment"],
+            "trip_id",
+            "trip_date",
+            "city_id",
+            "driver_id",
+            "rider_id",
+            "trip_status",
+            "gross_revenue",
+            "net_revenue",
+            "surge_multiplier",
+            "payment_method",
+            "payment_status",
+            "is_extreme_surge",
+            "has_duplicate_payment",
+            "is_completed_without_payment",
             fraud_category().alias("fraud_category"),
-            *["city_name", "driver_tier", "driver_status", "rider_segment", "rider_total_trips"],
-            *["requested_at", "payment_created_at"],
+            "city_name",
+            "driver_tier",
+            "driver_status",
+            "rider_segment",
+            "rider_total_trips",
+            "requested_at",
+            "payment_created_at",
         )
     )

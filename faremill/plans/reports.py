@@ -50,8 +50,13 @@ def top_drivers(activity: DataFrame, drivers: DataFrame) -> DataFrame:
     return (
         totals.join(drivers, "driver_id")
         .select(
-            *["driver_id", "city_name", "driver_tier", "driver_status"],
-            *["gross_revenue", "net_revenue", "trips_completed"],
+            "driver_id",
+            "city_name",
+            "driver_tier",
+            "driver_status",
+            "gross_revenue",
+            "net_revenue",
+            "trips_completed",
             n.numeric(F.round("rating", 2)).alias("avg_rating"),
             "total_online_hours",
         )
@@ -77,7 +82,11 @@ def rider_ltv_by_segment(riders: DataFrame) -> DataFrame:
 def payment_failure_rate(reliability: DataFrame) -> DataFrame:
     rate = F.col("payment_failure_rate_pct")
     return reliability.orderBy(F.desc("payment_date"), rate.desc()).select(
-        *["payment_date", "payment_provider", "total_attempts", "successful_payments", "failed_payments"],
+        "payment_date",
+        "payment_provider",
+        "total_attempts",
+        "successful_payments",
+        "failed_payments",
         F.round(rate, 2).alias("failure_rate_pct"),
         "failed_on_completed_trip",
         F.col("total_failed_amount").alias("at_risk_revenue"),
@@ -167,6 +176,11 @@ def city_profitability(revenue: DataFrame, cities: DataFrame) -> DataFrame:
 def driver_history(history: DataFrame) -> DataFrame:
     record_type = F.when(F.col("dbt_valid_to").isNull(), "current").otherwise("historical")
     return history.orderBy("driver_id", "dbt_valid_from").select(
-        *["driver_id", "driver_status", "vehicle_id", "rating", "dbt_valid_from", "dbt_valid_to"],
+        "driver_id",
+        "driver_status",
+        "vehicle_id",
+        "rating",
+        "dbt_valid_from",
+        "dbt_valid_to",
         record_type.alias("record_type"),
     )

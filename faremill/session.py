@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,3 +64,22 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="faremill-")
     spark.conf.set(CHECKPOINT_DIR, folder)
     return folder
+
+
+_passing: list[tuple[SparkSession, str]] = []
+
+
+def _remove() -> None:
+    for spark, folder in _passing:
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # the JVM may be gone; the folder is then the cluster's to sweep
+            return
+
+
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of passing results when the driver's Python ends."""
+    if not _passing:
+        atexit.register(_remove)
+    _passing.append((spark, folder))

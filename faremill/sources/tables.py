@@ -3,52 +3,46 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
-from faremill.sources.runs import MARK_SUCCESS, drop_runs_before, finished, last_run
+from faremill.sources.versions import DATA, Store, Version
 
+#: Looks at the rows a write is about to make visible; an exception keeps them out.
+Audit = Callable[[DataFrame], None]
+WHOLE = "all"
 
-def _parquet(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
-    """A known schema saves the job that reads file footers to infer one."""
-    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest version of a table, or None when there is none."""
+    store = Store(spark, path)
+    version = store.last()
+    return store.rows(version) if version else None
 
-def read_replaced(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """The last finished version of a table, or None when there is none."""
-    run = last_run(spark, path)
-    return _parquet(spark, f"{path}/run={run}", schema) if run else None
 
+def _audited(store: Store, rows: DataFrame, folder: str, audit: Audit | None) -> None:
+    if audit is None:
+        return
+    try:
+        audit(rows)
+    except Exception:
+        store.delete(f"{DATA}/{folder}")
+        raise
 
-def replace_table(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
+
+def replace_table(df: DataFrame, path: str, cluster: Sequence[str] = (), audit: Audit | None = None) -> None:
     """Write a new version next to the old one, which stays readable until the new one is complete.
 
     Sorting inside each task's rows costs no shuffle and lets a later filter on those columns skip
     Parquet pages. The version before the last is kept for queries that are still reading it.
     """
-    spark = df.sparkSession
-    run = last_run(spark, path) + 1
-    rows = df.sortWithinPartitions(*cluster) if cluster else df
-    rows.write.mode("overwrite").option(*MARK_SUCCESS).parquet(f"{path}/run={run}")
-    drop_runs_before(spark, path, run - 1)
-
-
-def read_days(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """A table partitioned by day, or None when it was never completely written.
-
-    Without a schema, None also stands for a table that was written with no rows: it has no files.
-    """
-    if not finished(spark, path):
-        return None
-    try:
-        return _parquet(spark, path, schema)
-    except AnalysisException as e:
-        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
+    store = Store(df.sparkSession, path)
+    folder = store.write(df.sortWithinPartitions(*cluster) if cluster else df)
+    _audited(store, df.sparkSession.read.schema(df.schema).parquet(f"{path}/{DATA}/{folder}"), folder, audit)
+    # Both of two writers at once have a whole table; the later commit is the one that is seen.
+    while store.commit(store.last(), df.schema, {WHOLE: folder}) is None:
+        pass
 
 
 def clustered_by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
@@ -60,55 +54,27 @@ def clustered_by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFra
     return df.hint("rebalance", day).sortWithinPartitions(day, *cluster)
 
 
-#: A load of days leaves an empty file of this name and its first day until it has ended. Spark's
-#: readers skip names that start with an underscore.
-LOADING = "_loading-"
-
-
-def _folder(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files, root, hadoop.Path
-
-
-def loaded_days(spark: SparkSession, path: str, day: str) -> tuple[dt.date | None, dt.date | None]:
-    """The newest day that has files, and the first day of a load that did not end, if there is one.
-
-    Both come from the names of folders and files; no job is started.
-    """
-    files, root, _ = _folder(spark, path)
-    if not files.exists(root):
-        return None, None
-    names = {s.getPath().getName(): s.getPath() for s in files.listStatus(root)}
-    open_loads = [dt.date.fromisoformat(n.removeprefix(LOADING)) for n in names if n.startswith(LOADING)]
-    for name in sorted((n for n in names if n.startswith(f"{day}=2") or n.startswith(f"{day}=1")), reverse=True):
-        if any(s.isFile() and s.getLen() for s in files.listStatus(names[name])):
-            return dt.date.fromisoformat(name.removeprefix(f"{day}=")), min(open_loads, default=None)
-    return None, min(open_loads, default=None)
+def newest_day(spark: SparkSession, path: str) -> dt.date | None:
+    """The newest day that has rows, from the names in the table's pointer; no job is started."""
+    version = Store(spark, path).last()
+    days = [p for p in (version.parts if version else {}) if p[:1].isdigit()]
+    return max(map(dt.date.fromisoformat, days), default=None)
 
 
 def overwrite_days(
-    df: DataFrame, path: str, day: str, cluster: Sequence[str], *, all_days: bool, first_day: dt.date | None = None
+    df: DataFrame, path: str, day: str, cluster: Sequence[str] = (), *, all_days: bool, audit: Audit | None = None
 ) -> None:
-    """Replace the days present in ``df`` (those from ``first_day`` on), or the whole table.
+    """Replace the days present in ``df``, or the whole table, in one step.
 
-    Files are staged and moved in day by day when the job commits. If that is cut short, the mark of the
-    open load stays, and the next load starts no later than its first day. A failed rewrite of the
-    whole table leaves no success mark, and the next load builds the table in full.
+    The new days' files are written first; the pointer then names them beside the files of the days that
+    stay. A writer that finds another one's version in between adds its days to that.
     """
-    spark = df.sparkSession
-    files, root, new_path = _folder(spark, path)
-    if not all_days and first_day is not None:
-        files.create(new_path(root, f"{LOADING}{first_day.isoformat()}"), True).close()
-    (
-        clustered_by_day(df, day, cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if all_days else "dynamic")
-        .option(*MARK_SUCCESS)
-        .partitionBy(day)
-        .parquet(path)
-    )
-    for status in files.listStatus(root):
-        if status.getPath().getName().startswith(LOADING):
-            files.delete(status.getPath(), False)
+    store = Store(df.sparkSession, path)
+    folder = store.write(clustered_by_day(df, day, cluster), day)
+    new = {n.removeprefix(f"{day}="): f"{folder}/{n}" for n in store.folders_with_files(f"{DATA}/{folder}")}
+    while True:
+        before = store.last()
+        parts = new if all_days or before is None else {**before.parts, **new}
+        _audited(store, store.rows(Version(0, df.schema, parts)), folder, audit)
+        if store.commit(before, df.schema, parts):
+            return

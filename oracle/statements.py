@@ -6,6 +6,8 @@ Spark divides decimals. Amounts leave as doubles rounded to 4 places on both sid
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from oracle.raw_sql import RAW, newest, raw_table
 
 TODAY = "date '2024-02-15'"
@@ -381,12 +383,11 @@ _DOUBLES = {
 }
 
 
-def rounded(columns: str, source: str, tail: str = "") -> str:
-    """Select columns (names, or ``expression as name``), amounts as doubles to 4 places."""
+def rounded(columns: Sequence[str | tuple[str, str]], source: str, tail: str = "") -> str:
+    """Select columns (names, or a name and its expression), amounts as doubles to 4 places."""
     out = []
-    for item in (c.strip() for c in columns.split(";") if c.strip()):
-        expression, _, name = item.rpartition(" as ")
-        expression = expression or name
+    for item in columns:
+        name, expression = (item, item) if isinstance(item, str) else item
         if name in _AMOUNTS:
             expression = f"cast(round({expression}, 4) as double)"
         elif name in _DOUBLES:
@@ -395,31 +396,44 @@ def rounded(columns: str, source: str, tail: str = "") -> str:
     return f"select {', '.join(out)} from {source} {tail}"
 
 
-def _c(text: str) -> str:
-    return "; ".join(text.split())
-
-
-STG_TRIPS = _c("trip_id rider_id driver_id vehicle_id city_id requested_at pickup_at dropoff_at created_at updated_at "
-               "trip_status payment_method is_corporate estimated_fare actual_fare surge_multiplier")
-ENRICHED = _c("trip_id rider_id driver_id vehicle_id city_id requested_at pickup_at dropoff_at created_at updated_at "
-              "trip_date trip_year trip_month trip_month_key trip_status payment_method trip_duration_minutes "
-              "estimated_fare actual_fare net_revenue fare_variance surge_multiplier surge_revenue_contribution "
-              "is_corporate trip_type payment_id payment_status payment_provider payment_amount processing_fee currency "
-              "payment_created_at failed_payment_count success_payment_count city_name city_country driver_status "
-              "driver_rating rider_signup_date rider_country referral_code is_extreme_surge has_duplicate_payment "
-              "is_completed_without_payment is_fraud_suspect")
-FCT_TRIPS = _c("fct_trip_sk trip_id rider_id driver_id vehicle_id city_id payment_id trip_date trip_year trip_month "
-               "trip_month_key trip_status payment_method payment_status payment_provider trip_type is_corporate "
-               "trip_duration_minutes estimated_fare gross_revenue net_revenue fare_variance processing_fee "
-               "payment_amount surge_multiplier surge_revenue_contribution is_extreme_surge has_duplicate_payment "
-               "is_completed_without_payment is_fraud_suspect failed_payment_count success_payment_count requested_at "
-               "pickup_at dropoff_at payment_created_at created_at updated_at")
-DAILY = _c("fct_daily_revenue_sk trip_date city_id city_name country trip_type total_trips gross_revenue net_revenue "
-           "total_processing_fees surge_revenue surge_revenue_pct avg_surge_multiplier avg_trip_duration_minutes "
-           "avg_fare extreme_surge_trips duplicate_payment_trips fraud_suspect_trips")
-ACTIVITY = _c("fct_driver_activity_sk driver_id city_id activity_date trips_completed gross_revenue net_revenue "
-              "avg_trip_duration_minutes corporate_trips surge_trips online_hours revenue_per_online_hour")
-EVENTS = _c("event_id driver_id driver_online_status event_timestamp event_date")
+STG_TRIPS = (
+    "trip_id", "rider_id", "driver_id", "vehicle_id", "city_id", "requested_at", "pickup_at", "dropoff_at",
+    "created_at", "updated_at", "trip_status", "payment_method", "is_corporate", "estimated_fare",
+    "actual_fare", "surge_multiplier",
+)
+ENRICHED = (
+    "trip_id", "rider_id", "driver_id", "vehicle_id", "city_id", "requested_at", "pickup_at", "dropoff_at",
+    "created_at", "updated_at", "trip_date", "trip_year", "trip_month", "trip_month_key", "trip_status",
+    "payment_method", "trip_duration_minutes", "estimated_fare", "actual_fare", "net_revenue", "fare_variance",
+    "surge_multiplier", "surge_revenue_contribution", "is_corporate", "trip_type", "payment_id",
+    "payment_status", "payment_provider", "payment_amount", "processing_fee", "currency", "payment_created_at",
+    "failed_payment_count", "success_payment_count", "city_name", "city_country", "driver_status",
+    "driver_rating", "rider_signup_date", "rider_country", "referral_code", "is_extreme_surge",
+    "has_duplicate_payment", "is_completed_without_payment", "is_fraud_suspect",
+)
+FCT_TRIPS = (
+    "fct_trip_sk", "trip_id", "rider_id", "driver_id", "vehicle_id", "city_id", "payment_id", "trip_date",
+    "trip_year", "trip_month", "trip_month_key", "trip_status", "payment_method", "payment_status",
+    "payment_provider", "trip_type", "is_corporate", "trip_duration_minutes", "estimated_fare", "gross_revenue",
+    "net_revenue", "fare_variance", "processing_fee", "payment_amount", "surge_multiplier",
+    "surge_revenue_contribution", "is_extreme_surge", "has_duplicate_payment", "is_completed_without_payment",
+    "is_fraud_suspect", "failed_payment_count", "success_payment_count", "requested_at", "pickup_at",
+    "dropoff_at", "payment_created_at", "created_at", "updated_at",
+)
+DAILY = (
+    "fct_daily_revenue_sk", "trip_date", "city_id", "city_name", "country", "trip_type", "total_trips",
+    "gross_revenue", "net_revenue", "total_processing_fees", "surge_revenue", "surge_revenue_pct",
+    "avg_surge_multiplier", "avg_trip_duration_minutes", "avg_fare", "extreme_surge_trips",
+    "duplicate_payment_trips", "fraud_suspect_trips",
+)
+ACTIVITY = (
+    "fct_driver_activity_sk", "driver_id", "city_id", "activity_date", "trips_completed", "gross_revenue",
+    "net_revenue", "avg_trip_duration_minutes", "corporate_trips", "surge_trips", "online_hours",
+    "revenue_per_online_hour",
+)
+EVENTS = (
+    "event_id", "driver_id", "driver_online_status", "event_timestamp", "event_date",
+)
 
 
 def _tables() -> dict[str, str]:
@@ -430,49 +444,74 @@ def _tables() -> dict[str, str]:
 
     return {
         "stg_trips": of(STG_TRIPS, Chain.stg_trips),
-        "stg_drivers": of(_c("driver_id vehicle_id city_id driver_status rating onboarding_date created_at updated_at"),
+        "stg_drivers": of((
+    "driver_id", "vehicle_id", "city_id", "driver_status", "rating", "onboarding_date", "created_at",
+    "updated_at",
+),
                           Chain.stg_drivers),
-        "stg_riders": of(_c("rider_id signup_date country referral_code created_at"), Chain.stg_riders),
-        "stg_payments": of(_c("payment_id trip_id payment_status payment_provider amount processing_fee currency "
-                              "created_at"), Chain.stg_payments),
-        "stg_cities": of(_c("city_id city_name country launch_date"), Chain.stg_cities),
+        "stg_riders": of((
+    "rider_id", "signup_date", "country", "referral_code", "created_at",
+), Chain.stg_riders),
+        "stg_payments": of((
+    "payment_id", "trip_id", "payment_status", "payment_provider", "amount", "processing_fee", "currency",
+    "created_at",
+), Chain.stg_payments),
+        "stg_cities": of((
+    "city_id", "city_name", "country", "launch_date",
+), Chain.stg_cities),
         "stg_driver_status_events": of(EVENTS, Chain.status_events),
         "int_trips_enriched": of(ENRICHED, Chain.enriched),
         "int_driver_lifetime_stats": of(
-            _c("driver_id lifetime_trips lifetime_gross_revenue lifetime_net_revenue avg_fare_per_trip "
-               "avg_trip_duration_minutes avg_driver_rating first_trip_date last_trip_date corporate_trips "
-               "personal_trips surge_trips last_online_at days_since_last_trip is_churned"), Chain.driver_stats),
+            (
+    "driver_id", "lifetime_trips", "lifetime_gross_revenue", "lifetime_net_revenue", "avg_fare_per_trip",
+    "avg_trip_duration_minutes", "avg_driver_rating", "first_trip_date", "last_trip_date", "corporate_trips",
+    "personal_trips", "surge_trips", "last_online_at", "days_since_last_trip", "is_churned",
+), Chain.driver_stats),
         "int_rider_lifetime_value": of(
-            _c("rider_id rider_signup_date rider_country referral_code total_trips total_gross_spend rider_ltv avg_fare "
-               "first_trip_date last_trip_date corporate_trips card_trips cash_trips days_since_last_trip "
-               "signup_cohort rider_segment is_referred"), Chain.rider_value),
+            (
+    "rider_id", "rider_signup_date", "rider_country", "referral_code", "total_trips", "total_gross_spend",
+    "rider_ltv", "avg_fare", "first_trip_date", "last_trip_date", "corporate_trips", "card_trips", "cash_trips",
+    "days_since_last_trip", "signup_cohort", "rider_segment", "is_referred",
+), Chain.rider_value),
         "fct_trips": of(FCT_TRIPS, Chain.fct_trips),
         "dim_drivers": of(
-            _c("driver_id vehicle_id city_id city_name country driver_status rating onboarding_date tenure_months "
-               "lifetime_trips lifetime_gross_revenue lifetime_net_revenue avg_fare_per_trip "
-               "avg_trip_duration_minutes first_trip_date last_trip_date corporate_trips personal_trips "
-               "days_since_last_trip is_churned last_online_at driver_tier created_at updated_at"), Chain.dim_drivers),
+            (
+    "driver_id", "vehicle_id", "city_id", "city_name", "country", "driver_status", "rating", "onboarding_date",
+    "tenure_months", "lifetime_trips", "lifetime_gross_revenue", "lifetime_net_revenue", "avg_fare_per_trip",
+    "avg_trip_duration_minutes", "first_trip_date", "last_trip_date", "corporate_trips", "personal_trips",
+    "days_since_last_trip", "is_churned", "last_online_at", "driver_tier", "created_at", "updated_at",
+), Chain.dim_drivers),
         "dim_riders": of(
-            _c("rider_id signup_date country referral_code total_trips total_gross_spend rider_ltv avg_fare "
-               "first_trip_date last_trip_date days_since_last_trip corporate_trips signup_cohort rider_segment "
-               "is_referred created_at"), Chain.dim_riders),
+            (
+    "rider_id", "signup_date", "country", "referral_code", "total_trips", "total_gross_spend", "rider_ltv",
+    "avg_fare", "first_trip_date", "last_trip_date", "days_since_last_trip", "corporate_trips", "signup_cohort",
+    "rider_segment", "is_referred", "created_at",
+), Chain.dim_riders),
         "dim_cities": of(
-            _c("city_id city_name country launch_date months_since_launch total_trips total_gross_revenue "
-               "first_trip_date last_trip_date"), Chain.dim_cities),
+            (
+    "city_id", "city_name", "country", "launch_date", "months_since_launch", "total_trips",
+    "total_gross_revenue", "first_trip_date", "last_trip_date",
+), Chain.dim_cities),
         "fct_daily_revenue": of(DAILY, Chain.daily_revenue),
         "fct_payment_reliability": of(
-            _c("fct_payment_reliability_sk payment_date city_id payment_provider currency total_attempts "
-               "successful_payments failed_payments failed_on_completed_trip total_collected total_failed_amount "
-               "total_fees payment_failure_rate_pct net_collected"), Chain.payment_reliability),
+            (
+    "fct_payment_reliability_sk", "payment_date", "city_id", "payment_provider", "currency", "total_attempts",
+    "successful_payments", "failed_payments", "failed_on_completed_trip", "total_collected",
+    "total_failed_amount", "total_fees", "payment_failure_rate_pct", "net_collected",
+), Chain.payment_reliability),
         "fct_driver_activity": of(ACTIVITY, Chain.driver_activity),
         "fct_fraud_monitoring": of(
-            _c("trip_id trip_date city_id driver_id rider_id trip_status gross_revenue net_revenue surge_multiplier "
-               "payment_method payment_status is_extreme_surge has_duplicate_payment is_completed_without_payment "
-               "fraud_category city_name driver_tier driver_status rider_segment rider_total_trips requested_at "
-               "payment_created_at"), Chain.fraud),
+            (
+    "trip_id", "trip_date", "city_id", "driver_id", "rider_id", "trip_status", "gross_revenue", "net_revenue",
+    "surge_multiplier", "payment_method", "payment_status", "is_extreme_surge", "has_duplicate_payment",
+    "is_completed_without_payment", "fraud_category", "city_name", "driver_tier", "driver_status",
+    "rider_segment", "rider_total_trips", "requested_at", "payment_created_at",
+), Chain.fraud),
         "drivers_snapshot": of(
-            _c("driver_id vehicle_id city_id driver_status rating onboarding_date created_at updated_at dbt_scd_id "
-               "dbt_updated_at dbt_valid_from dbt_valid_to"), Chain.history),
+            (
+    "driver_id", "vehicle_id", "city_id", "driver_status", "rating", "onboarding_date", "created_at",
+    "updated_at", "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to",
+), Chain.history),
         "inc_status_events": of(EVENTS, Chain.loaded_events),
         "inc_fct_trips": of(FCT_TRIPS, Chain.loaded_trips),
         "inc_daily_revenue": of(DAILY, Chain.loaded_revenue),
@@ -481,86 +520,183 @@ def _tables() -> dict[str, str]:
 
 
 def _reports() -> dict[str, str]:
-    def of(table, columns: str, group: str = "", tail: str = "") -> str:
+    def of(table, columns: Sequence[str | tuple[str, str]], group: str = "", tail: str = "") -> str:
         chain = Chain()
         source = table(chain)
         return chain.end(rounded(columns, source, (f"group by {group} " if group else "") + tail))
 
-    money = f"{total('gross_revenue')} as gross_revenue; {total('net_revenue')} as net_revenue"
+    def completed(chain: Chain) -> str:
+        return f"(select * from {chain.fct_trips()} where trip_status = 'completed') t"
+
+    def activity(chain: Chain) -> str:
+        return (
+            f"(select a.*, d.city_name, d.driver_tier, d.driver_status, d.rating from {chain.driver_activity()} a"
+            f" join {chain.dim_drivers()} d on d.driver_id = a.driver_id) x"
+        )
+
+    def completed_with_city(chain: Chain) -> str:
+        return (
+            f"(select t.*, c.city_name from {chain.fct_trips()} t left join {chain.stg_cities()} c"
+            " on c.city_id = t.city_id where t.trip_status = 'completed') x"
+        )
+
+    def revenue_with_city(chain: Chain) -> str:
+        return (
+            f"(select r.* exclude (city_name, country), c.city_name, c.country, c.months_since_launch"
+            f" from {chain.daily_revenue()} r join {chain.dim_cities()} c on c.city_id = r.city_id) x"
+        )
+
+    gross = ("gross_revenue", total("gross_revenue"))
+    net_ = ("net_revenue", total("net_revenue"))
     margin = pct_of_money("sum(net_revenue)", "sum(gross_revenue)", 1)
+    surging = count_where("surge_multiplier > 1")
+    churned = count_where("is_churned")
+    trips = ("total_trips", "cast(sum(total_trips) as bigint)")
     return {
         "q01_daily_revenue_by_city": of(
             Chain.daily_revenue,
-            f"trip_date; city_name; {money}; cast(sum(total_trips) as bigint) as total_trips; {margin} as net_margin_pct",
-            "trip_date, city_name"),
+            ("trip_date", "city_name", gross, net_, trips, ("net_margin_pct", margin)),
+            "trip_date, city_name",
+        ),
         "q02_gross_vs_net": of(
-            lambda k: f"(select * from {k.fct_trips()} where trip_status = 'completed') t",
-            f"trip_month_key; trip_type; {money}; {dec('sum(gross_revenue - net_revenue)')} as total_deductions;"
-            f"{margin} as margin_pct", "trip_month_key, trip_type"),
+            completed,
+            (
+                "trip_month_key",
+                "trip_type",
+                gross,
+                net_,
+                ("total_deductions", dec("sum(gross_revenue - net_revenue)")),
+                ("margin_pct", margin),
+            ),
+            "trip_month_key, trip_type",
+        ),
         "q03_top_drivers": of(
-            lambda k: f"(select a.*, d.city_name, d.driver_tier, d.driver_status, d.rating from {k.driver_activity()} a"
-                      f" join {k.dim_drivers()} d on d.driver_id = a.driver_id) x",
-            f"driver_id; city_name; driver_tier; driver_status; {money};"
-            f"cast(sum(trips_completed) as bigint) as trips_completed; round({average('rating')}, 2) as avg_rating;"
-            f"cast(sum(cast(round(online_hours * 100) as bigint)) as bigint) / 100 as total_online_hours",
-            "driver_id, city_name, driver_tier, driver_status", "order by sum(x.gross_revenue) desc, driver_id limit 10"),
+            activity,
+            (
+                "driver_id",
+                "city_name",
+                "driver_tier",
+                "driver_status",
+                gross,
+                net_,
+                ("trips_completed", "cast(sum(trips_completed) as bigint)"),
+                ("avg_rating", f"round({average('rating')}, 2)"),
+                ("total_online_hours", "cast(sum(cast(round(online_hours * 100) as bigint)) as bigint) / 100"),
+            ),
+            "driver_id, city_name, driver_tier, driver_status",
+            "order by sum(x.gross_revenue) desc, driver_id limit 10",
+        ),
         "q04_rider_ltv_by_segment": of(
             Chain.dim_riders,
-            f"rider_segment; count(*) as rider_count; round({average('rider_ltv')}, 2) as avg_ltv;"
-            f"round(avg(total_trips), 1) as avg_trips; round(avg(days_since_last_trip)) as avg_days_since_last_trip;"
-            f"{total('rider_ltv')} as segment_total_ltv", "rider_segment"),
+            (
+                "rider_segment",
+                ("rider_count", "count(*)"),
+                ("avg_ltv", f"round({average('rider_ltv')}, 2)"),
+                ("avg_trips", "round(avg(total_trips), 1)"),
+                ("avg_days_since_last_trip", "round(avg(days_since_last_trip))"),
+                ("segment_total_ltv", total("rider_ltv")),
+            ),
+            "rider_segment",
+        ),
         "q05_payment_failure_rate": of(
             Chain.payment_reliability,
-            "payment_date; payment_provider; total_attempts; successful_payments; failed_payments;"
-            "round(payment_failure_rate_pct, 2) as failure_rate_pct; failed_on_completed_trip;"
-            "total_failed_amount as at_risk_revenue"),
+            (
+                "payment_date",
+                "payment_provider",
+                "total_attempts",
+                "successful_payments",
+                "failed_payments",
+                ("failure_rate_pct", "round(payment_failure_rate_pct, 2)"),
+                "failed_on_completed_trip",
+                ("at_risk_revenue", "total_failed_amount"),
+            ),
+        ),
         "q06_surge_impact": of(
-            lambda k: f"(select t.*, c.city_name from {k.fct_trips()} t left join {k.stg_cities()} c"
-                      " on c.city_id = t.city_id where t.trip_status = 'completed') x",
-            f"trip_date; city_name; count(*) as total_trips; {count_where('surge_multiplier > 1')} as surge_trips;"
-            f"round({count_where('surge_multiplier > 1')} / count(*) * 100, 1) as surge_trip_pct;"
-            f"round({average('case when surge_multiplier > 1 then surge_multiplier end')}, 2) as avg_surge_multiplier;"
-            f"{total('surge_revenue_contribution')} as total_surge_revenue;"
-            f"{pct_of_money('sum(surge_revenue_contribution)', 'sum(gross_revenue)', 1)} as surge_revenue_pct",
-            "trip_date, city_name"),
+            completed_with_city,
+            (
+                "trip_date",
+                "city_name",
+                ("total_trips", "count(*)"),
+                ("surge_trips", surging),
+                ("surge_trip_pct", f"round({surging} / count(*) * 100, 1)"),
+                (
+                    "avg_surge_multiplier",
+                    f"round({average('case when surge_multiplier > 1 then surge_multiplier end')}, 2)",
+                ),
+                ("total_surge_revenue", total("surge_revenue_contribution")),
+                ("surge_revenue_pct", pct_of_money("sum(surge_revenue_contribution)", "sum(gross_revenue)", 1)),
+            ),
+            "trip_date, city_name",
+        ),
         "q07_driver_churn": of(
             Chain.dim_drivers,
-            f"city_name; driver_tier; driver_status; count(*) as total_drivers; {count_where('is_churned')} as churned_drivers;"
-            f"round({count_where('is_churned')} / count(*) * 100, 1) as churn_rate_pct;"
-            "round(avg(days_since_last_trip)) as avg_days_inactive", "city_name, driver_tier, driver_status"),
+            (
+                "city_name",
+                "driver_tier",
+                "driver_status",
+                ("total_drivers", "count(*)"),
+                ("churned_drivers", churned),
+                ("churn_rate_pct", f"round({churned} / count(*) * 100, 1)"),
+                ("avg_days_inactive", "round(avg(days_since_last_trip))"),
+            ),
+            "city_name, driver_tier, driver_status",
+        ),
         "q08_fraud_summary": of(
             Chain.fraud,
-            f"trip_date; fraud_category; count(*) as suspect_trips; {total('gross_revenue')} as at_risk_revenue;"
-            "string_agg(distinct city_name, ',' order by city_name) as affected_cities", "trip_date, fraud_category"),
+            (
+                "trip_date",
+                "fraud_category",
+                ("suspect_trips", "count(*)"),
+                ("at_risk_revenue", total("gross_revenue")),
+                ("affected_cities", "string_agg(distinct city_name, ',' order by city_name)"),
+            ),
+            "trip_date, fraud_category",
+        ),
         "q09_city_profitability": of(
-            lambda k: f"(select r.* exclude (city_name, country), c.city_name, c.country, c.months_since_launch"
-                      f" from {k.daily_revenue()} r join {k.dim_cities()} c on c.city_id = r.city_id) x",
-            f"city_name; country; months_since_launch; {total('gross_revenue')} as total_gross_revenue;"
-            f"{total('net_revenue')} as total_net_revenue; cast(sum(total_trips) as bigint) as total_trips;"
-            f"round({average('avg_fare')}, 2) as avg_fare; {total('surge_revenue')} as total_surge_revenue;"
-            "cast(sum(fraud_suspect_trips) as bigint) as fraud_suspect_trips", "city_name, country, months_since_launch"),
+            revenue_with_city,
+            (
+                "city_name",
+                "country",
+                "months_since_launch",
+                ("total_gross_revenue", total("gross_revenue")),
+                ("total_net_revenue", total("net_revenue")),
+                trips,
+                ("avg_fare", f"round({average('avg_fare')}, 2)"),
+                ("total_surge_revenue", total("surge_revenue")),
+                ("fraud_suspect_trips", "cast(sum(fraud_suspect_trips) as bigint)"),
+            ),
+            "city_name, country, months_since_launch",
+        ),
         "q10_driver_history": of(
             Chain.history,
-            "driver_id; driver_status; vehicle_id; rating; dbt_valid_from; dbt_valid_to;"
-            "if(dbt_valid_to is null, 'current', 'historical') as record_type"),
+            (
+                "driver_id",
+                "driver_status",
+                "vehicle_id",
+                "rating",
+                "dbt_valid_from",
+                "dbt_valid_to",
+                ("record_type", "if(dbt_valid_to is null, 'current', 'historical')"),
+            ),
+        ),
     }
 
 
 def _macros() -> dict[str, str]:
-    def of(table, columns: str) -> str:
+    def of(table, key: str, name: str, expression: str) -> str:
         chain = Chain()
         source = table(chain)
-        return chain.end(rounded(columns, source))
+        return chain.end(rounded((key, (name, expression)), source))
 
+    pounds = "round(cast(amount * 100 as bigint) / 100.0::double, 2)"
+    ratio = f"round({quotient('amount', 'processing_fee')}, 4)"
+    duration = minutes("pickup_at", "dropoff_at")
     return {
-        "macro_net_revenue": of(Chain.stg_payments, f"payment_id; {net('amount', 'processing_fee')} as net_revenue"),
-        "macro_duration": of(Chain.stg_trips, f"trip_id; {minutes('pickup_at', 'dropoff_at')} as trip_duration_minutes"),
-        "macro_cents_to_pounds": of(
-            Chain.stg_payments, "payment_id; round(cast(amount * 100 as bigint) / 100.0::double, 2) as pounds"),
-        "macro_safe_divide": of(
-            Chain.stg_payments, f"payment_id; round({quotient('amount', 'processing_fee')}, 4) as ratio"),
-        "macro_surrogate_key": of(
-            Chain.stg_riders, f"rider_id; {sk('rider_id', 'referral_code')} as rider_referral_sk"),
+        "macro_net_revenue": of(Chain.stg_payments, "payment_id", "net_revenue", net("amount", "processing_fee")),
+        "macro_duration": of(Chain.stg_trips, "trip_id", "trip_duration_minutes", duration),
+        "macro_cents_to_pounds": of(Chain.stg_payments, "payment_id", "pounds", pounds),
+        "macro_safe_divide": of(Chain.stg_payments, "payment_id", "ratio", ratio),
+        "macro_surrogate_key": of(Chain.stg_riders, "rider_id", "rider_referral_sk", sk("rider_id", "referral_code")),
     }
 
 
@@ -580,45 +716,168 @@ def _source(chain: Chain, name: str) -> str:
     return chain.raw(name) if name in RAW else _TABLE[name](chain)
 
 
-def _checks() -> dict[str, str]:
-    from faremill.plans import declared_checks as d
+# Every check, as the declared quality rules have them: table and column (and values or parent table).
+NOT_NULL = (
+    ("trips_raw", "trip_id"),
+    ("trips_raw", "rider_id"),
+    ("trips_raw", "driver_id"),
+    ("trips_raw", "city_id"),
+    ("trips_raw", "status"),
+    ("trips_raw", "requested_at"),
+    ("drivers_raw", "driver_id"),
+    ("drivers_raw", "driver_status"),
+    ("drivers_raw", "city_id"),
+    ("riders_raw", "rider_id"),
+    ("riders_raw", "signup_date"),
+    ("payments_raw", "payment_id"),
+    ("payments_raw", "trip_id"),
+    ("payments_raw", "payment_status"),
+    ("payments_raw", "amount"),
+    ("payments_raw", "created_at"),
+    ("cities_raw", "city_id"),
+    ("cities_raw", "city_name"),
+    ("cities_raw", "country"),
+    ("driver_status_events_raw", "event_id"),
+    ("driver_status_events_raw", "driver_id"),
+    ("driver_status_events_raw", "status"),
+    ("driver_status_events_raw", "event_timestamp"),
+    ("stg_trips", "trip_id"),
+    ("stg_trips", "rider_id"),
+    ("stg_trips", "driver_id"),
+    ("stg_trips", "city_id"),
+    ("stg_trips", "actual_fare"),
+    ("stg_trips", "requested_at"),
+    ("stg_drivers", "driver_id"),
+    ("stg_drivers", "city_id"),
+    ("stg_riders", "rider_id"),
+    ("stg_riders", "signup_date"),
+    ("stg_payments", "payment_id"),
+    ("stg_payments", "trip_id"),
+    ("stg_payments", "amount"),
+    ("stg_cities", "city_id"),
+    ("stg_cities", "city_name"),
+    ("stg_cities", "country"),
+    ("stg_driver_status_events", "event_id"),
+    ("stg_driver_status_events", "driver_id"),
+    ("stg_driver_status_events", "event_timestamp"),
+    ("stg_driver_status_events", "event_date"),
+    ("fct_trips", "fct_trip_sk"),
+    ("fct_trips", "trip_id"),
+    ("fct_trips", "trip_date"),
+    ("dim_drivers", "driver_id"),
+    ("dim_riders", "rider_id"),
+    ("dim_cities", "city_id"),
+    ("dim_cities", "city_name"),
+    ("fct_daily_revenue", "fct_daily_revenue_sk"),
+    ("fct_payment_reliability", "fct_payment_reliability_sk"),
+    ("fct_driver_activity", "fct_driver_activity_sk"),
+    ("fct_fraud_monitoring", "trip_id"),
+)
+UNIQUE = (
+    ("trips_raw", "trip_id"),
+    ("drivers_raw", "driver_id"),
+    ("riders_raw", "rider_id"),
+    ("payments_raw", "payment_id"),
+    ("cities_raw", "city_id"),
+    ("driver_status_events_raw", "event_id"),
+    ("stg_trips", "trip_id"),
+    ("stg_drivers", "driver_id"),
+    ("stg_riders", "rider_id"),
+    ("stg_payments", "payment_id"),
+    ("stg_cities", "city_id"),
+    ("stg_driver_status_events", "event_id"),
+    ("fct_trips", "fct_trip_sk"),
+    ("fct_trips", "trip_id"),
+    ("dim_drivers", "driver_id"),
+    ("dim_riders", "rider_id"),
+    ("dim_cities", "city_id"),
+    ("fct_daily_revenue", "fct_daily_revenue_sk"),
+    ("fct_payment_reliability", "fct_payment_reliability_sk"),
+    ("fct_driver_activity", "fct_driver_activity_sk"),
+    ("fct_fraud_monitoring", "trip_id"),
+)
+ACCEPTED = (
+    ("trips_raw", "status", "'completed', 'cancelled', 'no_show'"),
+    ("trips_raw", "payment_method", "'card', 'wallet', 'cash'"),
+    ("drivers_raw", "driver_status", "'active', 'suspended', 'inactive'"),
+    ("payments_raw", "payment_status", "'success', 'failed'"),
+    ("payments_raw", "payment_provider", "'stripe', 'paypal'"),
+    ("driver_status_events_raw", "status", "'online', 'offline'"),
+    ("stg_trips", "trip_status", "'completed', 'cancelled', 'no_show'"),
+    ("stg_trips", "payment_method", "'card', 'wallet', 'cash'"),
+    ("stg_drivers", "driver_status", "'active', 'suspended', 'inactive'"),
+    ("stg_payments", "payment_status", "'success', 'failed'"),
+    ("stg_driver_status_events", "driver_online_status", "'online', 'offline'"),
+    ("fct_trips", "trip_status", "'completed', 'cancelled', 'no_show'"),
+    ("dim_drivers", "driver_status", "'active', 'suspended', 'inactive'"),
+    ("dim_drivers", "driver_tier", "'bronze', 'silver', 'gold', 'platinum'"),
+    ("dim_riders", "rider_segment", "'champion', 'loyal', 'recent', 'at_risk', 'churned'"),
+    ("fct_fraud_monitoring", "fraud_category", "'extreme_surge', 'duplicate_payment', 'completed_no_payment', 'multiple_indicators', 'other'"),
+)
+PARENTS = (
+    ("trips_raw", "rider_id", "riders_raw"),
+    ("trips_raw", "driver_id", "drivers_raw"),
+    ("trips_raw", "city_id", "cities_raw"),
+    ("drivers_raw", "city_id", "cities_raw"),
+    ("payments_raw", "trip_id", "trips_raw"),
+    ("driver_status_events_raw", "driver_id", "drivers_raw"),
+    ("stg_trips", "rider_id", "stg_riders"),
+    ("stg_trips", "driver_id", "stg_drivers"),
+    ("stg_trips", "city_id", "stg_cities"),
+    ("stg_drivers", "city_id", "stg_cities"),
+    ("stg_payments", "trip_id", "stg_trips"),
+    ("stg_driver_status_events", "driver_id", "stg_drivers"),
+)
+AT_LEAST_ZERO = (
+    ("stg_trips", "actual_fare"),
+    ("stg_payments", "amount"),
+)
+NO_NEGATIVE_REVENUE = (
+    ("fct_trips", "gross_revenue"),
+    ("fct_trips", "net_revenue"),
+    ("dim_drivers", "lifetime_gross_revenue"),
+    ("dim_riders", "rider_ltv"),
+    ("fct_daily_revenue", "gross_revenue"),
+    ("fct_daily_revenue", "net_revenue"),
+    ("fct_driver_activity", "gross_revenue"),
+)
 
-    def of(declared: dict, query) -> str:
+
+def _checks() -> dict[str, str]:
+    def of(declared, query) -> str:
         chain = Chain()
         parts = []
-        for model, columns in declared.items():
-            source = _source(chain, model)
-            for column in columns:
-                sql, name = query(chain, source, model, column)
-                parts.append(f"select '{model}' as model, '{name}' as column_name, cast(({sql}) as bigint) as failures")
+        for model, column, *more in declared:
+            sql = query(chain, _source(chain, model), column, *more)
+            parts.append(f"select '{model}' as model, '{column}' as column_name, cast(({sql}) as bigint) as failures")
         return chain.end("\nunion all\n".join(parts))
 
     def rows(condition):
-        return lambda chain, src, model, col: (f"select count(*) from {src} where {condition.format(c=col)}", col)
+        return lambda chain, src, col: f"select count(*) from {src} where {condition.format(c=col)}"
 
-    def repeated(chain, src, model, col):
-        groups = f"select {col} from {src} where {col} is not null group by {col} having count(*) > 1"
-        return f"select count(*) from ({groups})", col
+    def repeated(chain, src, col):
+        return f"select count(*) from (select {col} from {src} where {col} is not null group by {col} having count(*) > 1)"
 
-    def unwanted(chain, src, model, col):
-        values = ", ".join(f"'{v}'" for v in d.ACCEPTED_VALUES[model][col])
-        return f"select count(distinct {col}) from {src} where {col} not in ({values})", col
+    def unwanted(chain, src, col, values):
+        return f"select count(distinct {col}) from {src} where {col} not in ({values})"
 
-    def orphan(chain, src, model, key):
-        keys = _source(chain, d.RELATIONSHIPS[model][key])
-        return (f"select count(*) from {src} c where c.{key} is not null and not exists "
-                f"(select 1 from {keys} p where p.{key} = c.{key})"), key
+    def orphan(chain, src, key, parent):
+        keys = _source(chain, parent)
+        return (
+            f"select count(*) from {src} c where c.{key} is not null and not exists "
+            f"(select 1 from {keys} p where p.{key} = c.{key})"
+        )
 
+    duration, payments = [("fct_trips", "trip_duration_minutes")], [("fct_trips", "success_payment_count")]
     return {
-        "dq_not_null": of(d.NOT_NULL, rows("{c} is null")),
-        "dq_unique": of(d.UNIQUE, repeated),
-        "dq_accepted_values": of(d.ACCEPTED_VALUES, unwanted),
-        "dq_relationships": of(d.RELATIONSHIPS, orphan),
-        "dq_expression_is_true": of(d.EXPRESSION_IS_TRUE, rows("not ({c} >= 0)")),
-        "dq_no_negative_revenue": of(d.NO_NEGATIVE_REVENUE, rows("{c} < 0")),
-        "dq_positive_trip_duration": of(
-            d.POSITIVE_TRIP_DURATION, rows("trip_status = 'completed' and coalesce({c}, 0) <= 0")),
-        "dq_completed_has_payment": of(d.COMPLETED_HAS_PAYMENT, rows("trip_status = 'completed' and {c} = 0")),
+        "dq_not_null": of(NOT_NULL, rows("{c} is null")),
+        "dq_unique": of(UNIQUE, repeated),
+        "dq_accepted_values": of(ACCEPTED, unwanted),
+        "dq_relationships": of(PARENTS, orphan),
+        "dq_expression_is_true": of(AT_LEAST_ZERO, rows("not ({c} >= 0)")),
+        "dq_no_negative_revenue": of(NO_NEGATIVE_REVENUE, rows("{c} < 0")),
+        "dq_positive_trip_duration": of(duration, rows("trip_status = 'completed' and coalesce({c}, 0) <= 0")),
+        "dq_completed_has_payment": of(payments, rows("trip_status = 'completed' and {c} = 0")),
     }
 
 

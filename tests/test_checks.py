@@ -56,6 +56,31 @@ def test_number_of_declared_checks():
     assert [sum(len(v) for v in x.values()) for x in declared] == [54, 21, 16, 12, 2, 7, 1, 1]
 
 
+def test_several_checks_share_one_pass(spark):
+    df = spark.createDataFrame([("completed", None), ("completed", -1.0), ("completed", 0.0)], "trip_status string, x double")
+    checks = {"a": ({"t": ["x"]}, c.is_missing), "b": ({"t": ["x", "x"], "u": ["x"]}, c.is_negative), "d": ({"t": ["x"]}, c.is_zero_when_completed)}
+    got = c.count_failing_rows({"t": df, "u": df.where("false")}.__getitem__, checks)
+    assert sorted(map(tuple, got.collect())) == [("a", "t", "x", 1), ("b", "t", "x", 1), ("b", "t", "x", 1), ("b", "u", "x", 0), ("d", "t", "x", 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2
+
+
+def test_what_fails(spark):
+    trips = spark.createDataFrame(
+        [("1", "1", "completed", 5.0), ("2", "2", "cancelled", None), ("2", None, "lost", -1.0), ("3", "9", "completed", None)],
+        "trip_id string, driver_id string, trip_status string, actual_fare double",
+    )
+    tables = {"stg_trips": trips, "stg_drivers": spark.createDataFrame([("1",), ("2",)], "driver_id string")}.__getitem__
+    rows = lambda *a: sorted(map(tuple, d.failing(a[0], tables, "stg_trips", a[1]).collect()), key=str)
+    assert rows("dq_not_null", "actual_fare") == [("2", "2", "cancelled", None), ("3", "9", "completed", None)]
+    assert rows("dq_expression_is_true", "actual_fare") == [("2", None, "lost", -1.0)]
+    assert rows("dq_unique", "trip_id") == [("2", 2)]
+    assert rows("dq_accepted_values", "trip_status") == [("lost", 1)]
+    assert [r[1] for r in rows("dq_relationships", "driver_id")] == ["3"]
+    with pytest.raises(ValueError, match="not declared"):
+        rows("dq_unique", "driver_id")
+
+
 @pytest.mark.parametrize("source", LIMITS)
 def test_freshness_limits(spark, source):
     limit = LIMITS[source]

@@ -1,4 +1,5 @@
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 import pytest
@@ -6,8 +7,9 @@ from conftest import ts
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from faremill.sources import history_table
 from faremill.sources.history_table import append_run, read_history
-from faremill.sources.runs import last_run
+from faremill.sources.versions import Store
 
 
 @pytest.fixture
@@ -47,18 +49,13 @@ def test_same_or_older_input_adds_no_version(snapshot):
     assert snapshot(("a", "unknown", None)) == first
 
 
-def test_unfinished_run_is_ignored_and_written_again(snapshot, spark):
+def test_unfinished_run_is_ignored_and_not_in_the_way(snapshot, spark, tmp_path):
     first = snapshot(("a", "active", ts("01 00:00:00")))
-    # What a run leaves behind when it dies before its job commits: files but no _SUCCESS.
-    spark.createDataFrame(
-        [("a", "broken", ts("09 00:00:00"))], "driver_id string, driver_status string, updated_at timestamp"
-    ).withColumns({"dbt_scd_id": F.lit("x"), "dbt_updated_at": F.col("updated_at"), "dbt_valid_from": F.col("updated_at"),
-                   "dbt_valid_to": F.col("updated_at"), "state": F.lit("closed")}).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("state").parquet(f"{snapshot.path}/run=2")
-    assert last_run(spark, snapshot.path) == 1
+    # What a run leaves behind when it dies before its commit: files that no pointer names.
+    spark.range(3).write.parquet(str(tmp_path / "history/data/run=rdead/state=open"))
     assert snapshot.history() == first
     assert snapshot(("a", "suspended", ts("05 00:00:00"))) == [("a", "active", 1, 5), ("a", "suspended", 5, None)]
-    assert last_run(spark, snapshot.path) == 2
+    assert Store(spark, snapshot.path).last().number == 2
 
 
 def test_random_runs_keep_one_open_version_and_no_overlaps(snapshot, spark):
@@ -73,10 +70,32 @@ def test_random_runs_keep_one_open_version_and_no_overlaps(snapshot, spark):
     assert h.select("dbt_scd_id").distinct().count() == h.count()
 
 
-def test_open_rows_of_the_last_two_runs_alone_are_kept(snapshot, tmp_path):
-    for n in range(5):
-        found = snapshot(("a", f"s{n}", ts(f"{n + 1:02d} 00:00:00")), ("b", "same", ts("01 00:00:00")))
-    assert found == [
-        *[("a", f"s{n}", n + 1, n + 2) for n in range(4)], ("a", "s4", 5, None), ("b", "same", 1, None),
-    ]
-    assert len(list(tmp_path.glob("history/run=*/state=open"))) == 2
+def test_fifty_runs_leave_few_folders_and_the_whole_history(snapshot, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history_table, "MERGED_SETS", 4)
+    for n in range(50):
+        at = ts("01 00:00:00") + timedelta(hours=n)
+        source = spark.createDataFrame([("a", f"s{n}", at), ("b", "same", ts("01 00:00:00")), (f"c{n}", "x", at)],
+                                       "driver_id string, driver_status string, updated_at timestamp")
+        append_run(source, snapshot.path, "driver_id", "updated_at")
+    rows = read_history(spark, snapshot.path).where("driver_id = 'a'").orderBy("dbt_valid_from").collect()
+    assert [r.driver_status for r in rows] == [f"s{n}" for n in range(50)]
+    assert [r.dbt_valid_to for r in rows] == [r.dbt_valid_from for r in rows[1:]] + [None]
+    assert read_history(spark, snapshot.path).count() == 101
+    # Open rows and at most three closed sets a level, of this version and of the one before.
+    assert len(Store(spark, snapshot.path).last().parts) <= 1 + 3 * 3
+    assert len(list((tmp_path / "history/data").iterdir())) <= 14
+    assert len(list((tmp_path / "history/_versions").glob("*.json"))) == 2
+
+
+def test_two_writers_lose_nothing(spark, snapshot):
+    first = [("a", "active", ts("01 00:00:00"))]
+    snapshot(*first)
+
+    def run(i):
+        new = spark.createDataFrame([(f"d{i}", "x", ts("02 00:00:00"))], "driver_id string, driver_status string, updated_at timestamp")
+        append_run(new, snapshot.path, "driver_id", "updated_at")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(run, range(4)))
+    assert {d for d, *_ in snapshot.history()} == {"a", "d0", "d1", "d2", "d3"}
+    assert Store(spark, snapshot.path).last().number == 5

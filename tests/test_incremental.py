@@ -1,12 +1,15 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import ts
 
 from faremill import Lake
-from faremill.plans.lake import MODELS, write_waves
-from faremill.sources.tables import loaded_days, overwrite_days, read_days, read_replaced, replace_table
-from faremill.streaming.incremental import reload_from
+from faremill.plans.lake import MODELS, waves
+from faremill.sources import versions
+from faremill.sources.tables import newest_day, overwrite_days, read_table, replace_table
+from faremill.sources.versions import Store
+from faremill.operators.incremental import reload_from
 
 
 @pytest.fixture
@@ -79,62 +82,108 @@ def test_empty_target_is_built_in_full(lake):
 def test_reload_from():
     assert reload_from(None) is None
     assert reload_from(dt.date(2024, 1, 9)) == dt.date(2024, 1, 8)
-    assert reload_from(dt.date(2024, 1, 9), dt.date(2024, 1, 5)) == dt.date(2024, 1, 5)
 
 
-def test_newest_day_comes_from_names_without_a_job(spark, tmp_path):
+def test_newest_day_comes_from_the_pointer_without_a_job(spark, tmp_path):
     days = spark.sql("select day, 1 as n from values (date '2024-01-05'), (date '2024-01-09'), (null) as t(day)")
     overwrite_days(days, str(tmp_path / "t"), "day", ["n"], all_days=True)
-    (tmp_path / "t" / "day=2024-01-20").mkdir()
+    (tmp_path / "t/data/run=rdead/day=2024-01-20").mkdir(parents=True)
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
-    assert loaded_days(spark, str(tmp_path / "t"), "day") == (dt.date(2024, 1, 9), None)
-    assert loaded_days(spark, str(tmp_path / "none"), "day") == (None, None)
+    assert newest_day(spark, str(tmp_path / "t")) == dt.date(2024, 1, 9)
+    assert newest_day(spark, str(tmp_path / "none")) is None
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    assert sorted(str(r.day) for r in read_table(spark, str(tmp_path / "t")).collect()) == ["2024-01-05", "2024-01-09", "None"]
 
 
-def test_days_left_out_by_a_half_committed_load_are_loaded_by_the_next(spark, lake, tmp_path):
-    import shutil
-
+def test_a_load_that_dies_before_its_commit_changes_nothing(spark, lake, tmp_path):
     lake(driver_status_events=[event("a", 5), event("c", 10)]).refresh(EVENTS)
     full = lake(driver_status_events=[event("a", 5), event("c", 10), *[event(f"n{d}", d) for d in (9, 11, 12)]])
-    full.refresh(EVENTS)
-    # As if the driver had died after day 12 was moved in: the others are missing, the mark is there.
-    for day in ("2024-01-09", "2024-01-10", "2024-01-11"):
-        shutil.rmtree(tmp_path / EVENTS / f"event_date={day}")
-    (tmp_path / EVENTS / "_loading-2024-01-09").touch()
+
+    def die(rows):
+        assert rows.count() == 5
+        raise RuntimeError("the driver dies")
+
+    with pytest.raises(RuntimeError):
+        full.refresh(EVENTS, audit=die)
+    assert loaded(full) == [("a", 5), ("c", 10)]
     full.refresh(EVENTS)
     assert loaded(full) == [("a", 5), ("c", 10), ("n11", 11), ("n12", 12), ("n9", 9)]
-    assert not list((tmp_path / EVENTS).glob("_loading*"))
+    assert len(list((tmp_path / EVENTS / "data").iterdir())) == 2
 
 
-def test_replaced_table_keeps_the_last_complete_version(spark, tmp_path):
+def test_replaced_table_keeps_the_last_complete_version(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "table")
-    assert read_replaced(spark, path) is None
+    assert read_table(spark, path) is None
 
     def write(n):
         replace_table(spark.range(n), path, ["id"])
-        return read_replaced(spark, path).count()
+        return read_table(spark, path).count()
 
     assert [write(1), write(2)] == [1, 2]
-    before = read_replaced(spark, path)
-    # A run that died before its job committed is neither read nor in the way.
-    (tmp_path / "table" / "run=3" / "_temporary").mkdir(parents=True)
-    assert read_replaced(spark, path).count() == 2
+    before = read_table(spark, path)
+    # A run that died before its commit is neither read nor in the way, and goes when it is old.
+    (tmp_path / "table/data/run=rdead/_temporary").mkdir(parents=True)
+    assert read_table(spark, path).count() == 2
     assert write(4) == 4
     assert before.count() == 2
     write(5)
-    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["run=3", "run=4"]
+    assert len(list((tmp_path / "table/data").iterdir())) == 3
+    monkeypatch.setattr(versions, "ORPHAN_SECONDS", -1)
+    write(6)
+    assert len(list((tmp_path / "table/data").iterdir())) == 2
+
+
+def test_one_of_two_writers_commits_and_the_other_looks_again(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "t"))
+    schema = spark.range(1).schema
+    assert store.commit(None, schema, {"all": "run=ra"}).number == 1
+    assert store.commit(None, schema, {"all": "run=rb"}) is None
+    first = store.last()
+    # A pointer that its writer has yet to fill is in the way until it is old.
+    (tmp_path / "t/_versions/00000002.json").touch()
+    assert store.last() == first and store.commit(first, schema, {"all": "run=rb"}) is None
+    monkeypatch.setattr(versions, "PENDING_SECONDS", -1)
+    assert store.commit(first, schema, {"all": "run=rb"}).number == 3
+
+
+def test_days_of_two_writers_at_once_are_all_there(spark, tmp_path):
+    path = str(tmp_path / "days")
+
+    def load(day):
+        rows = spark.sql(f"select date '2024-01-{day:02d}' as day, {day} as n")
+        overwrite_days(rows, path, "day", all_days=False)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(load, range(1, 9)))
+    assert sorted((r.day.day, r.n) for r in read_table(spark, path).collect()) == [(d, d) for d in range(1, 9)]
+
+
+def test_two_lakes_build_at_once(spark, lake):
+    tables = dict(trips=[trip("1", 5), trip("2", 10)], driver_status_events=[event("a", 5)],
+                  drivers=[dict(driver_id="d", city_id="c", driver_status="active", updated_at=ts("01 00:00:00"))])
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda one: one.build(), [lake(**tables), lake(**tables)]))
+    assert all(set(d.values()) == {"built"} for d in done)
+    one = lake(**tables)
+    assert one.table("fct_trips").count() == 2 and one.table("drivers_snapshot").count() == 1
+    assert one.table("fct_daily_revenue").count() == 2
 
 
-def test_interrupted_rewrite_of_a_day_table_is_built_again(spark, lake, tmp_path):
-    one = lake(driver_status_events=[event("a", 5), event("c", 10)])
-    one.refresh(EVENTS)
-    assert read_days(spark, str(tmp_path / "nothing")) is None
-    # A rewrite that died after clearing the table.
-    table = tmp_path / EVENTS
-    for file in [table / "_SUCCESS", *table.glob("event_date=2024-01-05/*")]:
-        file.unlink()
-    assert loaded(one) == [("a", 5), ("c", 10)]
+def test_reads_write_nothing(lake, tmp_path):
+    one = lake(trips=[trip("1", 5)])
+    assert one.table("fct_trips").count() == 1
+    assert one.table("drivers_snapshot").columns[-1] == "dbt_valid_to"
+    assert not list(tmp_path.iterdir())
+    one.ensure(["fct_trips"])
+    assert {p.name for p in tmp_path.iterdir()} >= {"fct_trips", "int_trips_enriched", "stg_payments"}
+
+
+def test_columns_come_back_in_declared_order(lake):
+    one = lake(trips=[trip("1", 5)])
+    names = ["fct_trips", "fct_daily_revenue", "fct_driver_activity", EVENTS, "int_trips_enriched"]
+    planned = {n: one.plan(n).columns for n in names}
+    one.ensure(names)
+    assert {n: one.table(n).columns for n in names} == planned
 
 
 def test_a_day_too_large_for_one_task_is_split_into_sorted_files(spark, tmp_path):
@@ -147,8 +196,8 @@ def test_a_day_too_large_for_one_task_is_split_into_sorted_files(spark, tmp_path
         overwrite_days(skewed.repartition(12), str(tmp_path / "days"), "day", ["id"], all_days=True)
     finally:
         spark.conf.set(size, before)
-    assert len(list((tmp_path / "days/day=2024-01-08").glob("*.parquet"))) > 1
-    assert read_days(spark, str(tmp_path / "days")).count() == 40_000
+    assert len(list((tmp_path / "days").glob("data/*/day=2024-01-08/*.parquet"))) > 1
+    assert read_table(spark, str(tmp_path / "days")).count() == 40_000
 
 
 def trip(trip_id, day, **more):
@@ -193,7 +242,7 @@ def test_incremental_equals_full_build_when_nothing_is_too_late(spark, lake, raw
 
 
 def test_a_build_writes_inputs_first():
-    order = {name: i for i, wave in enumerate(write_waves()) for name in wave}
+    order = {name: i for i, wave in enumerate(waves()) for name in wave}
     assert set(order) == {n for n, m in MODELS.items() if m.written}
 
     def sources(name):
@@ -204,6 +253,8 @@ def test_a_build_writes_inputs_first():
     assert all(order[s] < order[name] for name in order for s in sources(name))
     # Eleven stored tables and three kept staging views.
     assert [sum(m.stored for m in MODELS.values()), sum(m.kept for m in MODELS.values())] == [11, 3]
+    checked = {name: i for i, wave in enumerate(waves(["trips_raw"])) for name in wave}
+    assert checked["trips_raw"] < checked["stg_trips"] < checked["int_trips_enriched"] < checked["fct_trips"]
 
 
 def test_build_runs_the_whole_project_twice(lake):
@@ -225,3 +276,62 @@ def test_build_runs_the_whole_project_twice(lake):
     checks = {(r.check, r.model, r.column_name): r.failures for r in one.check_all().collect()}
     assert len(checks) == 114
     assert checks["dq_completed_has_payment", "fct_trips", "success_payment_count"] == 1
+
+
+def test_failing_checks_keep_the_old_rows_and_stop_what_follows(lake):
+    good = dict(
+        trips=[trip("1", 5), trip("2", 10)],
+        payments=[dict(payment_id=f"p{i}", trip_id=i, payment_status="success", payment_provider="stripe", amount=10,
+                       created_at=ts("05 12:00:00")) for i in "12"],
+        drivers=[dict(driver_id="d", city_id="c", driver_status="active", updated_at=ts("01 00:00:00"))],
+        riders=[dict(rider_id="r", signup_date=dt.date(2023, 1, 1), created_at=ts("01 00:00:00"))],
+        cities=[dict(city_id="c", city_name="x", country="gb")],
+        driver_status_events=[event("a", 5)],
+    )
+    for row in good["trips"]:
+        row.update(payment_method="card", pickup_at=row["requested_at"], dropoff_at=row["requested_at"] + dt.timedelta(minutes=9))
+    done = lake(**good).build(check=True)
+    assert set(done.values()) == {"built", "checked"}
+    # A driver nobody knows: the relationship of the raw trips breaks, and all that reads them stays as it was.
+    broken = {**good, "trips": [{**good["trips"][0], "driver_id": "nobody"}, *good["trips"][1:], trip("3", 11)]}
+    second = lake(**broken)
+    done = second.build(check=True)
+    assert done["trips_raw"] == "trips_raw: dq_relationships on driver_id (1)"
+    assert done["stg_trips"] == done["fct_trips"] == done["dim_cities"] == "skipped"
+    assert sorted(r.trip_id for r in second.table("fct_trips").collect()) == ["1", "2"]
+    assert [r.trip_id for r in second.failing("dq_relationships", "trips_raw", "driver_id").collect()] == ["1"]
+    # A stored table that fails itself: its new rows are never seen.
+    third = lake(**{**good, "trips": [*good["trips"], {**good["trips"][0], "trip_id": "4", "actual_fare": -5}]})
+    allowed = {("dq_expression_is_true", "stg_trips", "actual_fare"), ("dq_completed_has_payment", "fct_trips", "success_payment_count")}
+    done = third.build(full_refresh=True, check=True, warn=allowed)
+    assert done["int_trips_enriched"] == "built"
+    assert done["fct_trips"] == "fct_trips: dq_no_negative_revenue on gross_revenue (1), dq_no_negative_revenue on net_revenue (1)"
+    assert done["fct_daily_revenue"] == done["fct_driver_activity"] == done["fct_fraud_monitoring"] == "skipped"
+    assert sorted(r.trip_id for r in third.table("fct_trips").collect()) == ["1", "2"]
+    done = third.build(full_refresh=True)
+    assert set(done.values()) == {"built"}
+    assert sorted(r.trip_id for r in third.table("fct_trips").collect()) == ["1", "2", "4"]
+
+
+def test_a_report_over_a_range_of_days(lake):
+    one = lake(trips=[trip(str(i), i) for i in range(1, 9)])
+    one.ensure(["fct_daily_revenue", "fct_driver_activity", "fct_payment_reliability", "dim_drivers"])
+    days = (dt.date(2024, 1, 3), dt.date(2024, 1, 6))
+    assert sorted(r.trip_date.day for r in one.plan("q01_daily_revenue_by_city", days=days).collect()) == [3, 4, 5, 6]
+    assert sorted(r.trip_date.day for r in one.plan("q01_daily_revenue_by_city", days=(days[0], None)).collect()) == [3, 4, 5, 6, 7, 8]
+    assert one.plan("q01_daily_revenue_by_city", days=(None, None)).count() == 8
+    assert one.plan("q03_top_drivers", days=days).count() == one.plan("q05_payment_failure_rate", days=days).count() == 0
+    with pytest.raises(ValueError, match="range"):
+        one.plan("q02_gross_vs_net", days=days)
+
+
+def test_one_day_of_the_fact_table_opens_one_day_of_files(spark, lake):
+    one = lake(trips=[trip(f"{day}-{i}", day) for day in range(1, 21) for i in range(5)])
+    one.ensure(["int_trips_enriched"])
+    whole = one.plan("fct_trips").inputFiles()
+    last = one.plan("fct_trips", dt.date(2024, 1, 20))
+    assert last.count() == 5
+    scan = last._jdf.queryExecution().executedPlan().toString()
+    assert "trip_date#" in scan and ">= 2024-01-20" in scan
+    leaf = last._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    assert len(whole) >= 20 and leaf.selectedPartitions().totalNumberOfFiles() == sum("trip_date=2024-01-20" in f for f in whole)

@@ -11,7 +11,7 @@ from faremill import Lake
 from faremill.plans.lake import MODELS
 from faremill.sources.orders_as_rides import ride_tables
 from faremill.sources.raw import SCHEMAS, read_raw_files
-from faremill.streaming.incremental import since
+from faremill.operators.incremental import since
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -40,12 +40,16 @@ def empty_lake(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("plans"))
     for table, schema in SCHEMAS.items():
         spark.createDataFrame([], schema).write.parquet(f"{folder}/raw/{table}")
-    return Lake(spark, read_raw_files(spark, f"{folder}/raw"), f"{folder}/lake")
+    lake = Lake(spark, read_raw_files(spark, f"{folder}/raw"), f"{folder}/lake")
+    lake.ensure(["stg_payments", "stg_drivers", "stg_riders"])
+    return lake
 
 
 @pytest.mark.parametrize("name", [m for m in MODELS if m != "q10_driver_history"])
 def test_no_python_no_pairs(spark, name):
-    plan = text(entry.full_load(spark, FOLDER).plan(name))
+    lake = entry.full_load(spark, FOLDER)
+    lake.ensure(MODELS[name].inputs)
+    plan = text(lake.plan(name))
     for unwanted in ("Cartesian", "NestedLoop", "Python", "SinglePartition"):
         assert unwanted not in plan or (unwanted == "SinglePartition" and "count(1)" in plan), unwanted
 
@@ -73,7 +77,9 @@ def test_small_dimensions_are_broadcast_by_size(empty_lake):
 
 def test_load_window_reaches_the_scan(spark, empty_lake):
     day = dt.date(2024, 1, 20)
-    trips = entry.full_load(spark, FOLDER).plan("fct_daily_revenue", day)
+    lake = entry.full_load(spark, FOLDER)
+    lake.ensure(["fct_trips", "dim_cities"])
+    trips = lake.plan("fct_daily_revenue", day)
     assert re.search(r"PartitionFilters: \[[^\]]*trip_date#\d+ >= 2024-01-20", text(trips))
     raw = since(empty_lake.table("driver_status_events_raw"), "event_timestamp", day)
     assert "GreaterThanOrEqual(event_timestamp,2024-01-20" in text(raw)
@@ -81,7 +87,9 @@ def test_load_window_reaches_the_scan(spark, empty_lake):
 
 def test_scans_read_only_the_columns_in_use(spark, conf):
     conf({"spark.sql.maxMetadataStringLength": "2000"})
-    plan = text(entry.full_load(spark, FOLDER).plan("q02_gross_vs_net"))
+    lake = entry.full_load(spark, FOLDER)
+    lake.ensure(["fct_trips"])
+    plan = text(lake.plan("q02_gross_vs_net"))
     scan = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert set(re.findall(r"(\w+):", scan)) == {
         "trip_month_key", "trip_status", "trip_type", "gross_revenue", "net_revenue"}
@@ -99,6 +107,7 @@ def test_a_hot_driver_and_missing_riders_are_split_at_run_time(spark, settings,
         .withColumn("rider_id", F.when(third == 1, None).otherwise(F.col("rider_id")))
     )
     plain = Lake(spark, raw, str(tmp_path), settings)
+    plain.ensure(["stg_payments", "stg_drivers", "stg_riders"])
     expected = plain.plan("int_trips_enriched").toArrow().sort_by("trip_id")
     conf({
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -113,3 +122,19 @@ def test_a_hot_driver_and_missing_riders_are_split_at_run_time(spark, settings,
     assert re.search(r"SortMergeJoin\(skew=true\) \[driver_id", final)
     assert re.search(r"SortMergeJoin\(skew=true\) \[rider_id", final)
     assert got.equals(expected)
+
+
+def scans(plan, table):
+    return len(re.findall(rf"Scan parquet [^\n]*InMemoryFileIndex[^\n]*/{table}/", plan))
+
+
+def test_checks_read_each_table_a_few_times(spark, conf):
+    conf({"spark.sql.maxMetadataStringLength": "400"})
+    lake = entry.full_load(spark, FOLDER)
+    lake.ensure([m for m in MODELS if MODELS[m].written])
+    plan = text(lake.check_all())
+    # Conditions on rows in one pass, repeated values in one, unwanted values in one.
+    assert scans(plan, "fct_trips") == 3
+    related = text(lake.check("dq_relationships"))
+    # As a child once and as a parent once.
+    assert scans(related, "stg_drivers") == 2 and scans(related, "stg_riders") == 1
