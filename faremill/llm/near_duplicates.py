@@ -19,7 +19,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faremill.llm.common import LOWER, by_batch, stored, utf8_bytes
@@ -151,15 +151,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _alike(x: str, y: str) -> F.Column:
+def _alike(x: str, y: str, least: int) -> F.Column:
     """Whether two sketches share enough coordinates to be worth a comparison in full."""
     same = F.aggregate(
         F.zip_with(x, y, lambda p, q: F.when(p == q, 1).otherwise(0)), F.lit(0), lambda total, one: total + one
     )
-    return same >= LEAST_SHARED
+    return same >= least
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, least_shared: int = LEAST_SHARED) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for each row of ``docs``.
 
     Equal sets are one class, which its smallest id stands for, so a group of copies costs one
@@ -167,7 +167,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     emits all pairs of a bucket: first each class with the smallest id of its buckets, which joins
     large groups into components; then only pairs that are still in different components, whose
     sizes and sketches allow 0.75, each once, in the first band it shares. Links hold between full
-    sets. Null and empty texts are linked with nothing and kept. A row without doc_id takes no
+    sets. With ``least_shared`` 0 sketches rule no pair out that shares a band. Null and empty texts are linked with nothing and kept. A row without doc_id takes no
     part: it has no component and is kept. Repeated rows get the same result; classes that share
     their smallest doc_id count as one. Other columns are ignored; an empty table gives no rows.
     """
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         & (F.col("x.part") != F.col("y.part"))
         & (100 * F.least("x.n", "y.n") >= 75 * F.greatest("x.n", "y.n"))
         & first_shared
-        & _alike("x.bits", "y.bits"),
+        & _alike("x.bits", "y.bits", least_shared),
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     more = stored(_verified(stored(pairs, "pairs"), sets), "links")
     if more.limit(1).count():
@@ -222,6 +222,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id stands for its group, with all their columns."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """One row of each group of near duplicates, with all its columns: the one whose id stands for the group.
+
+    Of rows that share this id, repeated or with other texts, the first by text stays (ties: any
+    order that depends on the rows' contents alone). Rows without doc_id and rows without words are in no group
+    and stay, the latter once for each id. An empty table gives no rows.
+    """
+    kept = near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = stored(kept, "kept")
+    once = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi")
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.join(kept.where("n > 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns).toDF(*inner)
+    first = Window.partitionBy(inner[docs.columns.index("doc_id")]).orderBy(inner[docs.columns.index("text")], F.xxhash64(*inner))
+    several = rows.withColumn("nr", F.row_number().over(first)).where("nr = 1").select(inner).toDF(*docs.columns)
+    return once.select(docs.columns).unionByName(several).unionByName(docs.where("doc_id is null"))
