@@ -230,16 +230,16 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and a struct ``leaks`` (``n_words``, ``spans`` of words, ``items``).
+def find_contamination(docs: DataFrame, benchmark: DataFrame, leaks: str = "leaks") -> DataFrame:
+    """All columns of ``docs`` and last a struct ``leaks`` (``n_words``, ``spans`` of words, ``items``).
 
     A window is ten consecutive words of an item, or all of an item with fewer; its occurrences in
     a document are merged into spans, and ``items`` are the ids (as text) whose windows occur. Null
     texts and items have no words. An item without id is named by empty text. Equal items, repeated
     rows and ties change nothing. The benchmark is the stated query set: it is read in blocks of
     bounded size, each of which is broadcast and searched in one pass over the documents; no rows
-    are moved between tasks. With an empty benchmark nothing is found. A column of ``docs`` that
-    is called ``leaks`` is replaced.
+    are moved between tasks. With an empty benchmark nothing is found. The struct's name may be
+    chosen; a column of ``docs`` that has it goes.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), "text").where(
@@ -247,8 +247,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     chars = items.select(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = int(chars // BLOCK_CHARS) + 1
-    found = docs.withColumn(
-        "leaks",
+    found = docs.drop(leaks).withColumn(
+        leaks,
         F.struct(
             F.lit(0).cast("long").alias("n_words"),
             F.array().cast("array<struct<s:bigint,e:bigint>>").alias("spans"),
@@ -323,11 +323,13 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def remove_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the words inside windows of the benchmark; ``n_chars`` follows the text.
 
-    A document that has no other words goes. Other columns and untouched rows stay as they are.
+    A document that has no other words goes; one without words (null or empty text) stays. Other
+    columns, whatever their names, and untouched rows stay as they are. Repeated rows are cut
+    alike, an empty table gives no rows.
     """
     names, schema = docs.columns, docs.schema
     text_at = names.index("text")
-    found = find_contamination(docs, benchmark)
+    found = find_contamination(docs, benchmark, "leaks" + "_" * max(map(len, names)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -94,12 +94,16 @@ def judge_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass their own rules and come from a host that passes, all columns kept."""
+    """The documents that pass their own rules and come from a host that passes, all columns kept.
+
+    Null and empty texts have no words and go. Documents without a source share the host "".
+    Repeated rows are judged one by one. An empty table gives no rows.
+    """
     host = F.coalesce("source", F.lit(""))
     judged = _measured(docs.withColumn("host", host), ["host"]).select("host", _fails().alias("base_failed"))
     rejected = stored(host_verdicts(judged).where("rejected").select("host"), "rejected")
     passed = _passing(docs)
-    return passed.join(rejected, F.coalesce(passed["source"], F.lit("")) == rejected["host"], "left_anti")
+    return passed.join(rejected.alias("rejected"), F.coalesce(passed["source"], F.lit("")) == F.col("rejected.host"), "left_anti")
 
 
 def _passing(docs: DataFrame) -> DataFrame:
