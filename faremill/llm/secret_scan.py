@@ -2,9 +2,10 @@
 
 Every text is searched for credentials by pattern (base kinds) and for further candidates: private
 key blocks, signed web tokens and long mixed strings. The hash of each candidate's value is counted
-over the corpus by distinct repositories and owners. A value that ``EXAMPLE_OWNERS`` or more owners
-hold is an example that is copied widely; a value of fewer looks live. Base spans are always
-reported; further candidates only where they look live.
+over the corpus by distinct repositories and owners. A value is an example that is copied widely if
+``EXAMPLE_OWNERS`` or more owners hold it and none of them has nearly all of its repositories; a value
+of fewer owners, or of one owner whose repositories a few others copied, looks live. Base spans are
+always reported; further candidates only where they look live.
 
 Documents have no repository column: each document is a repository, and its source the owner.
 """
@@ -15,14 +16,19 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from faremill.llm.common import by_batch, stored, texts
 
 EXAMPLE_OWNERS = 3
+#: Most percent of an example's repositories that one owner may have.
+OWN_SHARE = 80
 #: A long mixed string has letters and digits and at least this many bits of entropy a character.
 LEAST_BITS = 3.0
 KINDS = ("assign", "access", "hex", "pem", "jwt", "mixed")
@@ -69,11 +75,14 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     for m in _MIXED.finditer(text):
         if _mixed(m[0]):
             more.append((m.start(), m.end(), 5, m[0]))
-    # A further candidate inside one that was found before it says nothing new.
-    for s, e, k, v in more:
-        if not any(a <= s and e <= b for a, b, _, _ in found):
-            found.append((s, e, k, v))
-    return sorted(found, key=lambda x: (x[0], x[2]))
+    # A further candidate that lies inside another says nothing new; of equal ones the first kind stays.
+    # From left to right, the wider first, a candidate lies inside another if it ends before the furthest end.
+    kept, furthest = [], -1
+    for s, e, k, v in sorted([*found, *more], key=lambda x: (x[0], -x[1], x[2])):
+        if k < BASE or e > furthest:
+            kept.append((s, e, k, v))
+        furthest = max(furthest, e)
+    return sorted(kept, key=lambda x: (x[0], x[2]))
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
@@ -96,14 +105,19 @@ def _scanned(docs: DataFrame) -> DataFrame:
 
 
 def ownership(occurrences: DataFrame) -> DataFrame:
-    """``hash``, ``repositories``, ``owners`` from rows of ``hash``, ``doc_id``, ``key``, ``owner``.
+    """``hash``, ``repositories``, ``owners``, ``most_owned`` (repositories of the owner with most) and ``example``
+    from rows of ``hash``, ``doc_id``, ``owner``.
 
     Repeats within a repository go first, dealt by hash and repository, so that a value which a third
     of the corpus holds is spread; what is left is counted before it moves.
     """
     once = occurrences.select("hash", "doc_id", "owner").distinct()
     by_owner = once.groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("hash").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners"))
+    owned = by_owner.groupBy("hash").agg(
+        F.sum("n").alias("repositories"), F.count("*").alias("owners"), F.max("n").alias("most_owned")
+    )
+    spread = 100 * F.col("most_owned") <= OWN_SHARE * F.col("repositories")
+    return owned.withColumn("example", (F.col("owners") >= EXAMPLE_OWNERS) & spread)
 
 
 def _judged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -112,8 +126,7 @@ def _judged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = rows.select("doc_id", "key", "owner", F.explode("found").alias("x")).select("doc_id", "key", "owner", "x.*")
     owned = stored(ownership(each), "owned")
     spans = (
-        each.join(owned, "hash")
-        .withColumn("example", F.col("owners") >= EXAMPLE_OWNERS)
+        each.join(owned.select("hash", "example"), "hash")
         .groupBy("doc_id", "key")
         .agg(F.array_sort(F.collect_set(F.struct("s", "kind", "e", "example"))).alias("spans"))
     )
@@ -158,40 +171,46 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     )
 
 
+def masked(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    """The text with a mark in place of each span (in order of start); overlapping spans share one."""
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every live-looking secret replaced by ``mark`` and ``n_chars`` brought up to date.
 
-    Examples that are copied widely stay.
+    Examples that are copied widely stay. Null and empty texts, rows without secrets and other
+    columns stay as they are; repeated rows are cut alike; an empty table gives no rows.
     """
     _, spans = _judged(docs)
     live = spans.withColumn("spans", F.filter("spans", lambda x: ~x["example"])).where(F.size("spans") > 0)
     columns = docs.columns
     inner = [f"c{i}" for i in range(len(columns))]
-    rows = docs.toDF(*inner)
     at = columns.index("text")
-    r = rows.withColumn("key", F.xxhash64(inner[at])).alias("r")
+    r = docs.toDF(*inner).withColumn("key", F.xxhash64(inner[at])).alias("r")
     s = stored(live, "live").alias("s")
     same = F.col(f"r.c{columns.index('doc_id')}").eqNullSafe(F.col("s.doc_id")) & F.col("r.key").eqNullSafe(F.col("s.key"))
-    text = F.col(f"c{at}")
-    # Merged spans leave the text between them and the mark for each; later spans may overlap.
-    done = F.aggregate(
-        "spans",
-        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, x: F.struct(
-            F.when(x["s"] >= acc["at"], F.concat(acc["out"], text.substr(acc["at"].cast("int") + 1, (x["s"] - acc["at"]).cast("int")), F.lit(mark)))
-            .otherwise(acc["out"])
-            .alias("out"),
-            F.greatest(acc["at"], x["e"]).alias("at"),
-        ),
-        lambda acc: F.concat(acc["out"], text.substr(acc["at"].cast("int") + 1, F.length(text))),
-    )
-    clean = r.join(s, same, "left").withColumn("clean", F.when(F.col("spans").isNull(), text).otherwise(done))
-    picked = []
-    for i, name in enumerate(columns):
-        if name == "text":
-            picked.append(F.col("clean").alias(name))
-        elif name == "n_chars":
-            picked.append(F.when(F.col("spans").isNull(), F.col(f"c{i}")).otherwise(F.length("clean").cast(docs.schema[name].dataType)).alias(name))
-        else:
-            picked.append(F.col(f"c{i}").alias(name))
+    matched = r.join(s, same, "left").select(*[f"r.{c}" for c in inner], F.transform("s.spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("spans"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = [
+                masked(text, [(x["s"], x["e"]) for x in spans], mark) if spans else text
+                for text, spans in zip(batch.column(at).to_pylist(), batch["spans"].to_pylist(), strict=True)
+            ]
+            changed = {**{c: batch[c] for c in inner}, inner[at]: pa.array(clean, pa.string()), "cut": pc.is_valid(batch["spans"])}
+            yield pa.RecordBatch.from_pydict(changed)
+
+    schema = StructType([StructField(c, f.dataType) for c, f in zip(inner, docs.schema, strict=True)]).add("cut", "boolean")
+    clean = matched.mapInArrow(run, schema)
+    picked = [F.col(c).alias(name) for c, name in zip(inner, columns, strict=True)]
+    if "n_chars" in columns:
+        i = columns.index("n_chars")
+        size = F.when(F.col("cut"), F.length(inner[at]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(inner[i]))
+        picked[i] = size.alias("n_chars")
     return clean.select(*picked)
