@@ -14,8 +14,10 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,7 +56,8 @@ ENDS_P = (
 BLOCK_KINDS = ("p", "h", "li", "td", "pre", "blockquote", "div", "section", "figure", "body", "other")
 _NAMES = {f"h{n}": "h" for n in range(1, 7)} | {"dt": "li", "dd": "li", "th": "td", "html": "body", "figcaption": "figure"}
 
-_TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>|([^<]+|<)", re.S)
+_NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
+_SPECIAL = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[\s_-]+")
 _SPACE = re.compile(r"\s+")
@@ -82,65 +85,128 @@ class Token:
         self.words = len(text.split()) if text else 0
 
 
+class _Tags:
+    """Where the tags of a page end, found in time that grows with the page alone, however broken it is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.special = [m.start() for m in _SPECIAL.finditer(page)]
+        self.next = 0
+        #: Opening quotes from which on no tag ends.
+        self.dead: set[int] = set()
+        self.last_end = page.rfind(">")
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` outside of quotes that ends a tag whose name ends at ``at``; -1 if there is none."""
+        while self.next < len(self.special) and self.special[self.next] < at:
+            self.next += 1
+        i, opened, page = self.next, [], self.page
+        while i < len(self.special):
+            place = self.special[i]
+            if page[place] == ">":
+                return place
+            close = -1 if place in self.dead else page.find(page[place], place + 1)
+            opened.append(place)
+            if close < 0:
+                break
+            i = bisect_right(self.special, close, i)
+        self.dead.update(opened)
+        return -1
+
+
+class _Element(NamedTuple):
+    """An open element and what holds inside it."""
+
+    name: str
+    role: str | None
+    block: str
+    main: bool
+    hidden: bool
+    #: Depth of the paragraph that a block element would end; 0 for none.
+    paragraph: int
+
+    @property
+    def kind(self) -> str:
+        """The innermost role around a place, or else its block element, apart inside the main element."""
+        return self.role or ("main " if self.main else "") + self.block
+
+
+_PAGE = _Element("", None, "other", False, False, 0)
+
+
+def _inside(parent: _Element, name: str, attributes: str, depth: int) -> _Element:
+    block = _NAMES.get(name, name)
+    return _Element(
+        name,
+        _role(name, attributes) or parent.role,
+        block if block in BLOCK_KINDS else parent.block,
+        parent.main or name in MAIN,
+        parent.hidden or name in HIDDEN,
+        depth if name == "p" else 0 if name in ("td", "th", "button", "object") else parent.paragraph,
+    )
+
+
 def tokens(page: str) -> list[Token]:
     """The tags and texts of a page in order; scripts, styles, comments and hidden elements are left out.
 
-    A closing tag closes the nearest open element of its name; unclosed ones end with their parent.
+    A closing tag closes the nearest open element of its name; unclosed ones end with their parent. A
+    ``<`` that begins no whole tag is text. The time grows with the page, however deep or broken it is.
     """
     out: list[Token] = []
-    stack: list[tuple[str, str | None]] = []
+    stack: list[_Element] = [_PAGE]
+    names: Counter = Counter()
+    tags = _Tags(page)
     block, at, size = 0, 0, len(page)
-    while at < size:
-        m = _TOKEN.match(page, at)
-        if m is None:
-            # An unfinished tag at the end is text by no browser's rule; it is dropped with the rest.
-            break
-        at = m.end()
-        name = m[2].lower() if m[2] else None
-        if name:
-            if m[1]:
-                if name not in INLINE:
-                    block += 1
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        del stack[i:]
-                        break
-            elif name in _RAW_END:
-                end = _RAW_END[name].search(page, at)
-                at = end.end() if end else size
-                block += name not in INLINE
-                continue
-            else:
-                if name in ENDS_P:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == "p":
-                            del stack[i:]
-                            break
-                        if stack[i][0] in ("td", "th", "button", "object"):
-                            break
-                if name not in INLINE and name != "br":
-                    block += 1
-                if name not in VOID and not m[3].endswith("/"):
-                    stack.append((name, _role(name, m[3])))
-            out.append(Token(f"tag {_kind(stack) if name not in VOID else 'void'}", None, block, any(n in MAIN for n, _ in stack)))
-            if name == "br":
-                out.append(Token("space", " ", block, False))
-        elif m[4] and not any(n in HIDDEN for n, _ in stack):
-            out.append(Token(f"word {_kind(stack)}", html.unescape(m[4]), block, any(n in MAIN for n, _ in stack)))
-    return out
 
+    def close(depth: int) -> None:
+        names.subtract(e.name for e in stack[depth:])
+        del stack[depth:]
 
-def _kind(stack: list[tuple[str, str | None]]) -> str:
-    """The innermost role around a place, or else its block element; links count apart."""
-    for _, role in reversed(stack):
-        if role:
-            return role
-    inside = "main " if any(n in MAIN for n, _ in stack) else ""
-    for name, _ in reversed(stack):
-        name = _NAMES.get(name, name)
-        if name in BLOCK_KINDS:
-            return inside + name
-    return inside + "other"
+    while at < size:
+        if page[at] != "<":
+            end = page.find("<", at)
+            end = size if end < 0 else end
+            if not stack[-1].hidden:
+                out.append(Token(f"word {stack[-1].kind}", html.unescape(page[at:end]), block, stack[-1].main))
+            at = end
+            continue
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = size if end < 0 else end + 3
+            continue
+        if at + 1 < size and page[at + 1] in "!?" and at < tags.last_end:
+            at = page.find(">", at) + 1
+            continue
+        m = _NAME.match(page, at)
+        end = tags.end(m.end()) if m else -1
+        if end < 0:
+            if not stack[-1].hidden:
+                out.append(Token(f"word {stack[-1].kind}", "<", block, stack[-1].main))
+            at += 1
+            continue
+        name, attributes, at = m[2].lower(), page[m.end() : end], end + 1
+        if m[1]:
+            if name not in INLINE:
+                block += 1
+            if names[name]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name))
+        elif name in _RAW_END:
+            found = _RAW_END[name].search(page, at, tags.last_end + 1)
+            at = found.end() if found else size
+            block += name not in INLINE
+            continue
+        else:
+            if name in ENDS_P and stack[-1].paragraph:
+                close(stack[-1].paragraph)
+            if name not in INLINE and name != "br":
+                block += 1
+            if name not in VOID and not attributes.endswith("/"):
+                stack.append(_inside(stack[-1], name, attributes, len(stack)))
+                names[name] += 1
+        out.append(Token(f"tag {stack[-1].kind if name not in VOID else 'void'}", None, block, stack[-1].main))
+        if name == "br":
+            out.append(Token("space", " ", block, False))
+    return out
 
 
 def _labels(page: str) -> Counter:
