@@ -7,8 +7,9 @@
    Rows with equal features are counted by Spark, so the table the trees are fitted to is as large as
    the feature space at most, whatever the corpus.
 4. The fitted trees become one SQL expression. The threshold of each family of formats is the lowest
-   at which the training spans reach ``PRECISION``. Wider spans at or above it are reported, unless they
-   overlap a base span; valid base spans always are.
+   at which spans scored by trees that were fitted without them reach ``PRECISION`` (``FOLDS`` fits, each
+   leaving out a part of the feature table). Wider spans at or above it are reported, unless they overlap
+   a base span; valid base spans always are.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ KINDS = ("email", "ip", "card", "phone", "address", "number")
 BASE = 4
 TREES, RATE, LEAST = 30, 0.3, 2.0
 PRECISION = 0.98
+FOLDS = 4
+#: Matches of a text that are placed one by one; blocks of so many are placed by their sums.
+BLOCK = 128
 CONTEXT = 24
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -51,7 +55,7 @@ def _spans(text: Column, kind: int) -> Column:
     steps = F.zip_with(
         F.slice(between, F.lit(1), F.size(values)), values, lambda gap, v: F.struct(F.length(gap).alias("gap"), v.alias("v"))
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:int,s:int,e:int,v:string>>").alias("out"))
+    nothing = F.array().cast("array<struct<kind:int,s:int,e:int,v:string>>")
 
     def add(acc: Column, x: Column) -> Column:
         s = acc["at"] + x["gap"]
@@ -59,10 +63,23 @@ def _spans(text: Column, kind: int) -> Column:
         new = F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), x["v"].alias("v"))
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(new)).alias("out"))
 
+    def place(block: Column, at: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), nothing.alias("out")), add, lambda acc: acc["out"])
+
+    # An array that grows is copied with every element, so only short ones do: a text's matches are cut into
+    # blocks, and the blocks' places follow from the sums before them.
+    def in_blocks(found: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK)), lambda b: F.slice(found, b.cast("int") * BLOCK + 1, F.lit(BLOCK)))
+        return F.get(F.transform(F.array(cut), placed), F.lit(0))
+
+    def placed(blocks: Column) -> Column:
+        width = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + F.length(x["v"])))
+        starts = F.aggregate(width, F.array(F.lit(0)), lambda out, w: F.concat(out, F.array(F.element_at(out, -1) + w)))
+        return F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), place))
+
     guard = text.contains(_GUARDS[kind]) if _GUARDS[kind] else text.rlike("[0-9]")
-    return F.when(guard, F.aggregate(steps, start, add, lambda acc: acc["out"])).otherwise(
-        F.array().cast("array<struct<kind:int,s:int,e:int,v:string>>")
-    )
+    few = F.get(F.transform(F.array(steps), lambda found: F.when(F.size(found) <= BLOCK, place(found, F.lit(0))).otherwise(in_blocks(found))), F.lit(0))
+    return F.when(guard, few).otherwise(nothing)
 
 
 def _count(value: Column, kept: str) -> Column:
@@ -187,14 +204,25 @@ def family(features: tuple[int, ...]) -> int:
     return 0 if at else 1 if plus else 2 if dots >= 3 else 3
 
 
-def thresholds(rows: list[tuple[tuple[int, ...], float, float]], start: float, trees: list[Tree]) -> list[float]:
-    """For each family the lowest probability from which on the precision is reached; 2 where none is."""
-    found = []
+def held_out_scores(rows: list[tuple[tuple[int, ...], float, float]]) -> list[float]:
+    """The probability of each row under trees fitted to the rows of the other folds.
+
+    Folds are dealt in turn within a family, so that each has rows of all.
+    """
+    order = sorted(range(len(rows)), key=lambda i: (family(rows[i][0]), rows[i][0]))
+    scores = [0.0] * len(rows)
+    for fold in range(FOLDS):
+        start, trees = fit_trees([rows[i] for n, i in enumerate(order) if n % FOLDS != fold])
+        for i in order[fold::FOLDS]:
+            scores[i] = 1 / (1 + math.exp(-start - sum(value_of(t, rows[i][0]) for t in trees)))
+    return scores
+
+
+def thresholds(rows: list[tuple[tuple[int, ...], float, float]]) -> list[float]:
+    """For each family the lowest held-out probability from which on the precision is reached; 2 where none is."""
+    found, scores = [], held_out_scores(rows)
     for kind in range(4):
-        scored = sorted(
-            ((1 / (1 + math.exp(-start - sum(value_of(t, r[0]) for t in trees))), r[1], r[2]) for r in rows if family(r[0]) == kind),
-            reverse=True,
-        )
+        scored = sorted(((p, r[1], r[2]) for p, r in zip(scores, rows, strict=True) if family(r[0]) == kind), reverse=True)
         limit, positive, negative = 2.0, 0.0, 0.0
         for i, (p, good, bad) in enumerate(scored):
             positive, negative = positive + good, negative + bad
@@ -250,7 +278,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     )
     table = [(tuple(r[f] for f in FEATURES), float(r["good"]), float(r["bad"])) for r in taught]
     start, trees = fit_trees(table)
-    limits = thresholds(table, start, trees) if trees else [2.0] * 4
+    limits = thresholds(table) if trees else [2.0] * 4
 
     found = rows.select(
         "doc_id",
