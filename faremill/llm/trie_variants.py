@@ -129,8 +129,11 @@ def trie_edges(words: DataFrame) -> DataFrame:
         .where((F.col("low") != F.col("high")) | (F.col("low") == 0) | (F.col("node") == ROOT))
         .select("node", "below")
     )
-    on_path = prefixes.select("word", "depth", "node").join(nodes, "node")
-    paths = on_path.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "below"))).alias("path"))
+    # The root is on every path and needs no join, which its key would make lopsided.
+    on_path = prefixes.where("depth > 0").select("word", "depth", "node").join(nodes, "node")
+    root = F.struct(F.lit(0).alias("depth"), F.lit(ROOT).cast("long").alias("node"), F.lit(words.count()).cast("long").alias("below"))
+    inner = F.array_sort(F.collect_list(F.struct("depth", "node", "below")))
+    paths = on_path.groupBy("word").agg(F.concat(F.array(root), inner).alias("path"))
     steps = paths.select("word", F.explode(F.arrays_zip(F.expr("slice(path, 1, size(path) - 1)").alias("a"), F.expr("slice(path, 2, size(path) - 1)").alias("b"))).alias("s"))
     label = F.substring("word", F.col("s.a.depth") + 1, F.col("s.b.depth") - F.col("s.a.depth"))
     ending = F.when(F.length("word") == F.col("s.b.depth"), F.col("word"))
@@ -148,10 +151,10 @@ def trie_edges(words: DataFrame) -> DataFrame:
         "edges",
     )
     copies = lambda n: (1 + n / STATES).cast("int")
-    inner = edges.select(F.col("child").alias("node"), copies(F.col("above") + F.col("below")).alias("own"))
+    owned = edges.select(F.col("child").alias("node"), copies(F.col("above") + F.col("below")).alias("own"))
     onward = edges.groupBy("node").agg(F.array_join(F.array_sort(F.collect_set(F.substring("label", 1, 1))), "").alias("onward"))
     return stored(
-        edges.join(inner, "node", "left")
+        edges.join(owned, "node", "left")
         .join(onward.withColumnRenamed("node", "child"), "child", "left")
         .select(
             "node",
