@@ -10,16 +10,20 @@ reaches the bound of one whole packing.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from faremill.llm.common import by_batch, small_batches, stored, utf8_bytes
+from faremill.llm.common import by_batch, small_batches, stored
 
 CAPACITY = 4096
 #: Id that ends a document.
@@ -28,33 +32,117 @@ END = 1
 PART = 50_000
 #: Exchanges at most. All pieces are placed whatever the number.
 ROUNDS = 8
-#: Chunks of text whose ids a worker keeps, and the longest it keeps. Results do not depend on them.
-KEPT_CHUNKS, LONGEST_KEPT = 300_000, 64
+#: Chunks (and words) of text whose ids a worker keeps, and the longest it keeps. Results do not depend on them.
+KEPT_CHUNKS, LONGEST_KEPT = 600_000, 64
 #: Dual feasible functions tried of each family that has a parameter.
 FUNCTIONS = 64
 
 
+# The rules of the tokenizer for which the shortcuts below hold.
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SUFFIX = "</w>"
+#: Lead bytes of all characters below U+0300; texts of these alone have no combining marks.
+_BELOW_MARKS = bytes(range(0xCC))
+_DOTTED_I = "\u0130".encode()
+_AROUND = re.compile(r"([^\w\s']*)([^\W\d_]+)([^\w\s']*)")
+
+
 class ChunkEncoder:
-    """Ids of texts whose tokenizer drops white space and lets nothing reach across it."""
+    """Ids of texts whose tokenizer drops white space and lets nothing reach across it.
+
+    Every chunk between white space is encoded once and kept. Where the tokenizer lower-cases, splits
+    letters from other signs and marks the ends of words, texts are lower-cased first, a chunk that
+    is a word between signs is put together from theirs, and new words are encoded many at a time.
+    """
 
     def __init__(self, model: str):
         self.tokenizer = Tokenizer.from_str(model)
         self._known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        chunks = [t.split() for t in texts]
-        if len(self._known) > KEPT_CHUNKS:
-            self._known.clear()
-        known = self._known
-        new = list(set().union(*chunks).difference(known))
-        encoded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        found = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, encoded, strict=True)}
-        known.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST_KEPT)
-        long = {c: ids for c, ids in found.items() if len(c) > LONGEST_KEPT}
-        if not long:
-            return [b"".join(map(known.__getitem__, words)) for words in chunks]
-        return [b"".join([known[w] if w in known else long[w] for w in words]) for words in chunks]
+        self._parts: dict[str, bytes] = {}
+        rules = json.loads(model)
+        steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        lowers = any(n["type"] == "Lowercase" for n in (rules.get("normalizer") or {}).get("normalizers", []))
+        splits = any(x["type"] == "Split" and x["pattern"].get("Regex") == _SPLIT for x in steps)
+        self._shortcuts = lowers and splits and rules["model"].get("end_of_word_suffix") == _SUFFIX
+        self._ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for piece, number in self.tokenizer.get_vocab().items():
+            self._ends[number] = piece.endswith(_SUFFIX)
+
+    def _each(self, chunks: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words, which end where a piece ends a word."""
+        for start in range(0, len(words), 500):
+            part = words[start : start + 500]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) != len(part):
+                yield from self._each(part)
+                continue
+            raw, at = ids.tobytes(), 0
+            for end in (4 * ends).tolist():
+                yield raw[at:end]
+                at = end
+
+    def _new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        if not self._shortcuts:
+            return dict(zip(chunks, self._each([c.decode() for c in chunks]), strict=True))
+        plain, split, rest = [], {}, []
+        for c in chunks:
+            if c.isalpha():
+                plain.append(c)
+            elif not c.translate(None, _BELOW_MARKS) and _DOTTED_I not in c and (m := _AROUND.fullmatch(c.decode())) and m[2].isalpha():
+                split[c] = m.groups()
+            else:
+                rest.append(c)
+        found = dict(zip(plain, self._words(b" ".join(plain).decode().split(" ")), strict=True)) if plain else {}
+        found.update(zip(rest, self._each([c.decode() for c in rest]), strict=True))
+        new = set().union(*split.values()).difference(self._parts)
+        words, signs = [p for p in new if p.isalpha()], [p for p in new if p and not p.isalpha()]
+        if len(self._parts) + len(new) > KEPT_CHUNKS:
+            self._parts = {p: self._parts[p] for three in split.values() for p in three if p in self._parts}
+        self._parts[""] = b""
+        self._parts.update(zip(words, self._words(words), strict=True))
+        self._parts.update(zip(signs, self._each(signs), strict=True))
+        ids = self._parts
+        found.update((c, ids[before] + ids[word] + ids[after]) for c, (before, word, after) in split.items())
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row (nulls are empty), and where each text's ids begin and end.
+
+        The chunks of a batch are numbered by Arrow, so that only distinct ones are looked up, and their ids
+        are gathered by number.
+        """
+        texts = pc.fill_null(texts, "")
+        if self._shortcuts:
+            # "<|" may begin a special token, whose case counts.
+            low = [not t.translate(None, _BELOW_MARKS) and b"<|" not in t for t in texts.cast(pa.binary()).to_pylist()]
+            texts = pc.if_else(pa.array(low, pa.bool_()), pc.ascii_lower(texts), texts)
+        split = pc.ascii_split_whitespace(texts)
+        numbered = split.flatten().dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.binary()).to_pylist()
+        found = self._new([c for c in distinct if c not in self._known])
+        if len(self._known) + len(found) > KEPT_CHUNKS:
+            # What this batch shares with those before it is worth keeping.
+            self._known = {c: self._known[c] for c in distinct if c in self._known}
+        self._known.update(found)
+        ids = [self._known[c] for c in distinct]
+        for c in found:
+            if len(c) > LONGEST_KEPT:
+                del self._known[c]
+        if not ids:
+            return np.empty(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        flat, size = np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
+        number = numbered.indices.to_numpy()
+        sizes = size[number]
+        ends = np.cumsum(sizes)
+        shift = (np.cumsum(size) - size)[number] - (ends - sizes)
+        gathered = flat[np.repeat(shift, sizes) + np.arange(len(shift) and ends[-1])]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return gathered, bounds
 
 
 _encoders: dict[int, ChunkEncoder] = {}
@@ -85,11 +173,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
     size = 4 * capacity
 
     def work(batch: pa.RecordBatch) -> dict:
-        texts = utf8_bytes(batch["text"])
+        flat, bounds = _encoder(model.value).encode(batch["text"])
         rows, piece, start, ids = [], [], [], []
-        end = np.array([END], "<u4").tobytes()
-        for row, found in enumerate(_encoder(model.value).encode(texts)):
-            found += end
+        end = np.array([END], "<u4")
+        for row in range(batch.num_rows):
+            found = np.concatenate([flat[bounds[row] : bounds[row + 1]], end]).tobytes()
             for number, at in enumerate(range(0, len(found), size)):
                 rows.append(row)
                 piece.append(number)
