@@ -71,9 +71,9 @@ def by_batch(
 BATCH_BYTES = 4 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Bound the Arrow batches of the session by bytes; Spark's own bound of 64 MB holds before this."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def held_out(doc_id: str, modulus: int) -> F.Column:

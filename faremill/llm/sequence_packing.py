@@ -34,6 +34,8 @@ PART = 50_000
 ROUNDS = 8
 #: Chunks (and words) of text whose ids a worker keeps, and the longest it keeps. Results do not depend on them.
 KEPT_CHUNKS, LONGEST_KEPT = 600_000, 64
+#: Bytes of text that share one numbering of chunks.
+BATCH_BYTES = 16 << 20
 #: Dual feasible functions tried of each family that has a parameter.
 FUNCTIONS = 64
 
@@ -167,7 +169,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
     and broadcasts. The tokenizer must drop ASCII white space and let no rule reach across it, as
     lower-casing word tokenizers do; then chunks between white space can be encoded apart.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     with open(tokenizer, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     size = 4 * capacity
