@@ -35,7 +35,7 @@ ROUNDS = 8
 #: Chunks (and words) of text whose ids a worker keeps, and the longest it keeps. Results do not depend on them.
 KEPT_CHUNKS, LONGEST_KEPT = 600_000, 64
 #: Bytes of text that share one numbering of chunks.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Dual feasible functions tried of each family that has a parameter.
 FUNCTIONS = 64
 
