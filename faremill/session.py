@@ -59,7 +59,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="faremill-")
     spark.conf.set(CHECKPOINT_DIR, folder)
