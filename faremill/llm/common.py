@@ -28,18 +28,18 @@ def _clean_up() -> None:
             return
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     This cuts the lineage: losing an executor later costs no recomputation. The folder is removed
-    when the driver's Python ends.
+    when the driver's Python ends. Large tables of text or hashes take less room as ``zstd``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     if not _made:
         atexit.register(_clean_up)
     _made.append((spark, path))
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -97,10 +97,10 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     splits the partition of a span that very many documents hold.
     """
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    found = stored(_all_spans(rows), "spans")
+    found = stored(_all_spans(rows), "spans", "zstd")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "start")
     counted = found.groupBy("hash").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    repeated = stored(counted.where("n > 1").select("hash", "first"), "repeated")
+    repeated = stored(counted.where("n > 1").select("hash", "first"), "repeated", "zstd")
     later = (
         found.join(repeated, "hash")
         .where(order > F.col("first"))
