@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from faremill import Lake
+from faremill.operators.incremental import since
+from faremill.operators.sessions import daily_online_hours
 from faremill.plans.lake import MODELS
 from faremill.sources.orders_as_rides import ride_tables
 from faremill.sources.raw import SCHEMAS, read_raw_files
-from faremill.operators.incremental import since
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -138,3 +139,12 @@ def test_checks_read_each_table_a_few_times(spark, conf):
     related = text(lake.check("dq_relationships"))
     # As a child once and as a parent once.
     assert scans(related, "stg_drivers") == 2 and scans(related, "stg_riders") == 1
+
+
+def test_the_event_log_is_exchanged_once(empty_lake, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    plan = text(daily_online_hours(empty_lake.table("stg_driver_status_events")))
+    above, log = plan.split("WindowGroupLimit")[0], "Exchange hashpartitioning(driver_id"
+    # By driver and hour, and one row an hour by driver; staging's own exchange by event lies below.
+    assert above.count(log) == 2 and re.search(r"Exchange hashpartitioning\(driver_id#\d+, hour#\d+", above)
+    assert "SortAggregate" not in above
