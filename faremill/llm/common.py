@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -76,6 +78,32 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+#: What operators keep in this Python worker from task to task, by operator: how to let it go.
+_kept: dict[str, Callable[[], None]] = {}
+_at_work: list[str] = []
+
+
+def enter(operator: str, let_go: Callable[[], None] | None = None) -> None:
+    """Called where an operator's code begins on a worker: what others kept there goes, and freed memory returns.
+
+    A worker outlives its tasks; without this one that has served several operators holds the caches of
+    all and the room that their largest batches took.
+    """
+    if let_go is not None:
+        _kept[operator] = let_go
+    if _at_work == [operator]:
+        return
+    _at_work[:] = [operator]
+    for other in [o for o in _kept if o != operator]:
+        _kept.pop(other)()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def held_out(doc_id: str, modulus: int) -> F.Column:
     """Whether crc32 of the id as text is a multiple of ``modulus``; a null id counts as empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import utf8_bytes
+from faremill.llm.common import enter, utf8_bytes
 
 WINDOW = 10
 #: Words of a shard before its index is built; a longer document is a shard of its own.
@@ -266,6 +266,7 @@ def _one_pass(docs: DataFrame, windows) -> DataFrame:
     text_at = docs.columns.index("text")
 
     def search(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         words = [words_of(t) for t in utf8_bytes(batch.column(text_at))]
         start, size = 0, 0
         for i, w in enumerate(words):

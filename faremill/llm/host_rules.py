@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import by_batch, stored, utf8_bytes
+from faremill.llm.common import by_batch, enter, stored, utf8_bytes
 
 LEAST_WORDS = 50
 #: Percent of a text's words that may stand in repeated windows.
@@ -44,6 +44,7 @@ def _measure(text: bytes) -> tuple[int, ...]:
 
 def _measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     def work(batch: pa.RecordBatch) -> dict:
+        enter(__name__)
         rows = [_measure(t) for t in utf8_bytes(batch["text"])]
         columns = {c: batch[c] for c in keep}
         return columns | {n: pa.array([r[i] for r in rows], pa.int64()) for i, n in enumerate(_COUNTS)}
@@ -111,6 +112,7 @@ def _passing(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
+        enter(__name__)
         for batch in batches:
             rows = [_measure(t) for t in utf8_bytes(batch.column(at))]
             good = [r[0] >= LEAST_WORDS and 100 * r[4] <= MOST_REPEATED * r[0] for r in rows]

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.llm.common import LOWER, by_batch, stored, utf8_bytes
+from faremill.llm.common import LOWER, by_batch, enter, stored, utf8_bytes
 from faremill.llm.components import components
 
 WIDTH = 5
@@ -42,6 +42,10 @@ _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _words: dict[bytes, int] = {}
 
 
+def _let_go() -> None:
+    _words.clear()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: xor-shifts and odd multipliers."""
     x = (x ^ (x >> np.uint64(30))) * _M2
@@ -100,6 +104,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
     """Per row: id, number of shingles, hash of the set, band keys and one byte of each coordinate."""
 
     def work(batch: pa.RecordBatch) -> dict:
+        enter(__name__, _let_go)
         sets = [shingles(t) for t in utf8_bytes(batch["text"])]
         digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         keys: list[np.ndarray | None] = [None] * len(sets)
@@ -127,6 +132,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The full sets of some documents: ``id``, ``items``."""
 
     def work(batch: pa.RecordBatch) -> dict:
+        enter(__name__, _let_go)
         sets = [shingles(t).view(np.int64) for t in utf8_bytes(batch["text"])]
         return {"id": batch["doc_id"], "items": pa.array(sets, pa.list_(pa.int64()))}
 

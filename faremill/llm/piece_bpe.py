@@ -18,7 +18,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from faremill.llm.common import by_batch, texts
+from faremill.llm.common import by_batch, enter, texts
 
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
@@ -181,6 +181,10 @@ class PieceEncoder:
 _workers: dict[int, tuple[PieceEncoder, sentencepiece.SentencePieceProcessor]] = {}
 
 
+def _let_go() -> None:
+    _workers.clear()
+
+
 def _tools(model: bytes):
     """One encoder and one processor for each Python worker, kept over its tasks."""
     key = hash(model)
@@ -201,6 +205,7 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def work(batch: pa.RecordBatch) -> dict:
+        enter(__name__, _let_go)
         encoder, library = _tools(model.value)
         ids = [encoder.encode(t) for t in texts(batch["text"])]
         decoded = [library.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]

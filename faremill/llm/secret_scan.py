@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from faremill.llm.common import by_batch, stored, texts
+from faremill.llm.common import by_batch, enter, stored, texts
 
 EXAMPLE_OWNERS = 3
 #: Most percent of an example's repositories that one owner may have.
@@ -89,6 +89,7 @@ def _scanned(docs: DataFrame) -> DataFrame:
     span = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("kind", pa.int32()), ("hash", pa.binary())])
 
     def work(batch: pa.RecordBatch) -> dict:
+        enter(__name__)
         rows = [
             [
                 {"s": s, "e": e, "kind": k, "hash": hashlib.blake2b(v.encode(), digest_size=16).digest()}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from faremill.llm.common import by_batch, small_batches, stored
+from faremill.llm.common import by_batch, enter, small_batches, stored
 
 CAPACITY = 4096
 #: Id that ends a document.
@@ -150,6 +150,10 @@ class ChunkEncoder:
 _encoders: dict[int, ChunkEncoder] = {}
 
 
+def _let_go() -> None:
+    _encoders.clear()
+
+
 def _encoder(model: str) -> ChunkEncoder:
     """One for each Python worker, kept over its tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are what runs side by side
@@ -175,6 +179,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
     size = 4 * capacity
 
     def work(batch: pa.RecordBatch) -> dict:
+        enter(__name__, _let_go)
         flat, bounds = _encoder(model.value).encode(batch["text"])
         rows, piece, start, ids = [], [], [], []
         end = np.array([END], "<u4")
