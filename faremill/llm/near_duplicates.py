@@ -227,18 +227,29 @@ def near_duplicates(docs: DataFrame, least_shared: int = LEAST_SHARED) -> DataFr
     )
 
 
+#: Ids whose rows are gathered by a broadcast; more are joined by Spark's own choice.
+FEW = 100_000
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one whose id stands for the group.
 
     Of rows that share this id, repeated or with other texts, the first by text stays (ties: any
     order that depends on the rows' contents alone). Rows without doc_id and rows without words are in no group
     and stay, the latter once for each id. An empty table gives no rows.
+
+    Texts are filtered by the ids that go, which are fewer than those that stay: they are broadcast
+    while they are small, and dealt with the texts beyond.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = stored(kept, "kept")
-    once = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi")
+    by_id = near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("stays"), F.count("*").alias("n"))
+    others = stored(by_id.where("doc_id is not null and (not stays or n > 1)").select("doc_id", "stays"), "others")
+    alone = docs.join(others.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    several = others.where("stays").select("doc_id")
+    number = several.limit(FEW + 1).count()
+    if not number:
+        return alone
     inner = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.join(kept.where("n > 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns).toDF(*inner)
+    wanted = F.broadcast(several) if number <= FEW else several
+    rows = docs.join(wanted, "doc_id", "left_semi").select(docs.columns).toDF(*inner)
     first = Window.partitionBy(inner[docs.columns.index("doc_id")]).orderBy(inner[docs.columns.index("text")], F.xxhash64(*inner))
-    several = rows.withColumn("nr", F.row_number().over(first)).where("nr = 1").select(inner).toDF(*docs.columns)
-    return once.select(docs.columns).unionByName(several).unionByName(docs.where("doc_id is null"))
+    return alone.unionByName(rows.withColumn("nr", F.row_number().over(first)).where("nr = 1").select(inner).toDF(*docs.columns))
