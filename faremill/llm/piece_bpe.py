@@ -31,7 +31,8 @@ TEXTS = 256
 class PieceEncoder:
     """Ids of texts under a BPE model with byte fallback, identity normalisation and a dummy prefix."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, kept_words: int = KEPT_WORDS):
+        self.kept_words = kept_words
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(model)
         rules = proto.normalizer_spec
@@ -137,7 +138,7 @@ class PieceEncoder:
                     found = self._table(part)
                 else:
                     found = tuple(self.byte_ids[b] for b in part.encode())
-                if len(self._parts) >= KEPT_WORDS:
+                if len(self._parts) >= self.kept_words:
                     self._parts.clear()
                 self._parts[part] = found
             ids.extend(self._parts[part])
@@ -145,7 +146,7 @@ class PieceEncoder:
 
     def _word(self, word: str) -> bytes:
         found = array("I", self._chunk(SPACE + word)).tobytes()
-        if len(self._words) >= KEPT_WORDS:
+        if len(self._words) >= self.kept_words:
             self._words.clear()
         self._words[word] = found
         return found
@@ -185,28 +186,28 @@ def _let_go() -> None:
     _workers.clear()
 
 
-def _tools(model: bytes):
+def _tools(model: bytes, kept_words: int):
     """One encoder and one processor for each Python worker, kept over its tasks."""
-    key = hash(model)
+    key = hash((model, kept_words))
     if key not in _workers:
-        _workers[key] = (PieceEncoder(model), sentencepiece.SentencePieceProcessor(model_proto=model))
+        _workers[key] = (PieceEncoder(model, kept_words), sentencepiece.SentencePieceProcessor(model_proto=model))
     return _workers[key]
 
 
-def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, kept_words: int = KEPT_WORDS) -> DataFrame:
     """``doc_id``, ``ids`` (packed little-endian unsigned 32-bit) and ``decoded`` for each row of ``docs``.
 
     Reads ``doc_id`` and ``text``; other columns are ignored. Null and empty texts give the begin
     and end ids and an empty decoded text. Repeated rows give repeated results, a null doc_id stays
     null, an empty table gives no rows. The model file (about half a megabyte) is read by the
-    driver and broadcast. No rows are moved between tasks.
+    driver and broadcast. No rows are moved between tasks. A worker keeps the ids of ``kept_words`` words.
     """
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def work(batch: pa.RecordBatch) -> dict:
         enter(__name__, _let_go)
-        encoder, library = _tools(model.value)
+        encoder, library = _tools(model.value, kept_words)
         ids = [encoder.encode(t) for t in texts(batch["text"])]
         decoded = [library.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]
         return {

@@ -21,18 +21,18 @@ from faremill.llm import (
     sequence_packing,
     trie_variants,
 )
-from faremill.llm.piece_bpe import encode_documents
+from faremill.llm.piece_bpe import KEPT_WORDS, encode_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def piece_digests(docs: DataFrame) -> DataFrame:
+def piece_digests(docs: DataFrame, kept_words: int = KEPT_WORDS) -> DataFrame:
     """Number and digest of the ids of each text, and digest of what they decode to."""
     import public_tokenizers
 
-    return encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).select(
+    return encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), kept_words).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
