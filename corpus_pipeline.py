@@ -12,6 +12,10 @@ from faremill.llm.queries import piece_digests
 from faremill.llm.secret_scan import redact_secrets
 
 
+#: Words whose ids a worker keeps; fewer than alone, as workers have served four other stages by then.
+KEPT_WORDS = 60_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail their own rules or come from a rejected host go."""
     small_batches(spark)
@@ -38,8 +42,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and digests of the ids and of the text they decode to."""
-    small_batches(spark)
-    return piece_digests(docs)
+    small_batches(spark, 1 << 20)
+    return piece_digests(docs, KEPT_WORDS)
 
 
 STAGES = [
