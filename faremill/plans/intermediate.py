@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,13 @@ def int_trips_enriched(
     drivers: DataFrame,
     riders: DataFrame,
     settings: Settings,
+    deal: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """One wide row per trip.
 
+    ``deal`` moves the joined rows, which have their ``trip_date``, before the columns that follow from
+    others are added: a writer that wants rows by day moves a third less.
+
     Payments join on the column the trips were deduplicated by, so only the rolled-up payments
     move. No side is marked for broadcast: Spark broadcasts one only below its size threshold and
     otherwise sort-merges, splitting the partition of a hot driver or rider at run time.
@@ -46,6 +52,7 @@ def int_trips_enriched(
         )
     )
     requested = F.col("requested_at")
+    joined = deal(joined.withColumn("trip_date", F.to_date(requested)))
     successes = F.coalesce("success_payment_count", F.lit(0))
     extreme = _flag(F.col("surge_multiplier") > F.lit(settings.extreme_surge))
     duplicate = successes > 1
@@ -62,7 +69,7 @@ def int_trips_enriched(
         "dropoff_at",
         "created_at",
         "updated_at",
-        F.to_date(requested).alias("trip_date"),
+        "trip_date",
         F.year(requested).cast("long").alias("trip_year"),
         F.month(requested).cast("long").alias("trip_month"),
         month_key(requested).alias("trip_month_key"),

@@ -18,7 +18,7 @@ from faremill.plans import core, intermediate, marts, reports, staging
 from faremill.plans.declared_checks import all_checks, failing, run_check
 from faremill.sources.catalog import register_table
 from faremill.sources.history_table import append_run
-from faremill.sources.tables import Audit, newest_day, overwrite_days, read_table, replace_table
+from faremill.sources.tables import Audit, newest_day, overwrite_days, read_table, rebalanced, replace_table
 from faremill.sources.versions import Store
 from faremill.operators.incremental import reload_from, since
 
@@ -40,6 +40,10 @@ class Model:
     #: limits what a load reads) it is loaded day by day, without one it is rewritten whole.
     day: str | None = None
     window: Mapping[str, str] = field(default_factory=dict)
+    #: One row for each row of the only input, which is kept by the same days.
+    row_by_row: bool = False
+    #: The plan deals its rows by day itself, before they are at their widest.
+    deals: bool = False
     #: Column of the first input that a report's range of days applies to.
     dated: str | None = None
     #: Key and change time of a table that keeps every version of its rows.
@@ -82,6 +86,7 @@ MODELS: dict[str, Model] = {
         # Rewritten whole, since a late payment can change any trip, but kept by day: a load of the
         # fact tables opens the files of its days alone.
         day="trip_date",
+        deals=True,
         uses_settings=True,
     ),
     "int_driver_lifetime_stats": Model(
@@ -101,6 +106,7 @@ MODELS: dict[str, Model] = {
         day="trip_date",
         cluster=("city_id", "driver_id", "trip_status"),
         window={"int_trips_enriched": "trip_date"},
+        row_by_row=True,
     ),
     "dim_cities": Model(
         core.dim_cities, ("stg_cities", "int_trips_enriched"), CORE, stored=True, uses_settings=True
@@ -218,12 +224,16 @@ class Lake:
         return as_new_versions(plan, *MODELS[name].history).drop("state") if MODELS[name].history else plan
 
     def plan(
-        self, name: str, first_day: dt.date | None = None, days: tuple[dt.date | None, dt.date | None] | None = None
+        self,
+        name: str,
+        first_day: dt.date | None = None,
+        days: tuple[dt.date | None, dt.date | None] | None = None,
+        by_day: bool = False,
     ) -> DataFrame:
         """The unwritten plan of a model over its input tables.
 
         ``first_day`` limits what a load reads. ``days`` (first and last, either may be None) is the
-        range of a report that has dates.
+        range of a report that has dates. ``by_day`` has a plan that ``deals`` do so, for a writer.
         """
         model = MODELS[name]
         if days and not model.dated:
@@ -238,7 +248,8 @@ class Lake:
                 df = since(df, model.dated, first)
                 df = df if last is None else df.where(F.col(model.dated) <= F.lit(last))
             inputs.append(df)
-        return model.plan(*inputs, self.settings) if model.uses_settings else model.plan(*inputs)
+        deal = {"deal": partial(rebalanced, day=model.day)} if by_day and model.deals else {}
+        return model.plan(*inputs, *([self.settings] if model.uses_settings else []), **deal)
 
     def ensure(self, names: Iterable[str]) -> None:
         """Store what is to be stored of these models and has no rows yet, inputs first."""
@@ -261,8 +272,9 @@ class Lake:
         else:
             known = model.window and not full_refresh
             first_day = reload_from(newest_day(self.spark, path)) if known else None
-            rows = self.plan(name, first_day)
-            overwrite_days(rows, path, model.day, model.cluster, all_days=first_day is None, audit=audit)
+            rows = self.plan(name, first_day, by_day=True)
+            dealt = model.deals or model.row_by_row and self._readable(model.inputs[0])
+            overwrite_days(rows, path, model.day, model.cluster, all_days=first_day is None, audit=audit, dealt=dealt)
         if model.kept:
             self._kept.add(name)
 

@@ -45,13 +45,18 @@ def replace_table(df: DataFrame, path: str, cluster: Sequence[str] = (), audit:
         pass
 
 
-def clustered_by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
-    """Few, well-sized files per day, each sorted so that Parquet statistics can skip row groups.
+def rebalanced(df: DataFrame, day: str) -> DataFrame:
+    """Rows of a day together, for few, well-sized files per day.
 
     A rebalance, unlike a plain repartition by day, lets adaptive execution split a day that is
     too large for one task and merge days that are small.
     """
-    return df.hint("rebalance", day).sortWithinPartitions(day, *cluster)
+    return df.hint("rebalance", day)
+
+
+def clustered_by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
+    """Rows by day (see ``rebalanced``), each file sorted so that Parquet statistics can skip row groups."""
+    return rebalanced(df, day).sortWithinPartitions(day, *cluster)
 
 
 def newest_day(spark: SparkSession, path: str) -> dt.date | None:
@@ -62,15 +67,25 @@ def newest_day(spark: SparkSession, path: str) -> dt.date | None:
 
 
 def overwrite_days(
-    df: DataFrame, path: str, day: str, cluster: Sequence[str] = (), *, all_days: bool, audit: Audit | None = None
+    df: DataFrame,
+    path: str,
+    day: str,
+    cluster: Sequence[str] = (),
+    *,
+    all_days: bool,
+    audit: Audit | None = None,
+    dealt: bool = False,
 ) -> None:
     """Replace the days present in ``df``, or the whole table, in one step.
 
+    ``dealt`` says that the rows come by day already, as from a table stored by the same days: they are
+    sorted and written by the tasks that read them, a file for each one read, and none crosses the network.
+
     The new days' files are written first; the pointer then names them beside the files of the days that
     stay. A writer that finds another one's version in between adds its days to that.
     """
     store = Store(df.sparkSession, path)
-    folder = store.write(clustered_by_day(df, day, cluster), day)
+    folder = store.write(df.sortWithinPartitions(day, *cluster) if dealt else clustered_by_day(df, day, cluster), day)
     new = {n.removeprefix(f"{day}="): f"{folder}/{n}" for n in store.folders_with_files(f"{DATA}/{folder}")}
     while True:
         before = store.last()
