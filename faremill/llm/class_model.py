@@ -8,7 +8,10 @@ P(word | previous word) = P(class of word | class of previous word) * P(word | i
    needs is a matrix of ``CORE`` by ``CORE`` counts, whatever the size of the corpus.
 3. Every other training word is put, by the same criterion, into the class that fits the classes
    of the core words it follows. This runs as a join over the corpus, so no word is left out.
-4. Class bigrams are counted over all training texts and used to score all texts.
+4. All words have a class now. In ``ROUNDS`` sweeps over the corpus every word outside the core is moved to
+   the class that fits the classes of all its neighbours, before and after it, best. They move at
+   once, as in distributed exchange; each word has neighbours, as text ends count.
+5. Class bigrams are counted over all training texts and used to score all texts.
 
 The vocabulary grows with the corpus and is never broadcast: texts are dealt into blocks of
 bounded size, and each block gets the entries of its own words.
@@ -16,6 +19,7 @@ bounded size, and each block gets the entries of its own words.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import repeat
@@ -32,6 +36,8 @@ from faremill.llm.common import LOWER, by_batch, held_out, stored, utf8_bytes
 CORE, CLASSES = 1_024, 64
 END_CLASS, UNKNOWN = CLASSES - 1, CLASSES
 SWEEPS = 20
+#: Sweeps over the words outside the core; each reads the training texts once more.
+ROUNDS = 1
 #: Additive constant for counts, and the weight of the class frequencies in the transitions.
 ADDED, PRIOR = 0.1, 20.0
 #: UTF-8 bytes of text in a block on average.
@@ -166,13 +172,11 @@ def _place_others(train: DataFrame, core: dict[bytes, int], table: np.ndarray) -
     return rows.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word binary, cls int")
 
 
-def _encoded(texts: DataFrame, vocabulary: DataFrame, base: tuple[int, int], totals: dict[int, tuple[int, int]]) -> DataFrame:
-    """Per text: counts, base score, log10 of the emissions, and the class of each token as a byte.
+def _dealt(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``texts`` in blocks, and the distinct ``block``, ``word`` of their words and ends.
 
-    ``texts`` are dealt into blocks by their place in the input, so that repeated rows spread; each block's
-    own words are looked up by a join.
+    Texts are dealt by their place in the input, so that repeated rows spread.
     """
-    count, distinct = base
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(size // BLOCK_BYTES) + 1
     place = F.xxhash64(F.monotonically_increasing_id())
@@ -188,7 +192,112 @@ def _encoded(texts: DataFrame, vocabulary: DataFrame, base: tuple[int, int], tot
                     {"block": pa.array([block] * len(words), pa.int64()), "word": pa.array(list(words), pa.binary())}
                 )
 
-    spread = dealt.mapInArrow(own_words, "block bigint, word binary").distinct()
+    return dealt, dealt.mapInArrow(own_words, "block bigint, word binary").distinct()
+
+
+def _neighbours(train: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``word``, ``near``: for a block and a word outside the core, a byte for each neighbour's class.
+
+    The class of the word before stands as it is, that of the word after plus ``CLASSES``. The row of the
+    end holds the block's counts of class bigrams instead.
+    """
+    dealt, spread = _dealt(train)
+    entries = spread.join(vocabulary.select("word", "cls", "placed"), "word")
+
+    def gather(block: pa.Table, known: pa.Table) -> pa.Table:
+        names = known["word"].to_pylist()
+        at = {w: i for i, w in enumerate(names)}
+        cls = known["cls"].to_numpy().astype(np.int64)
+        moves = ~known["placed"].to_numpy(zero_copy_only=False)
+        table = np.zeros(CLASSES * CLASSES, np.int64)
+        ids, near = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.uint8)]
+        for text in utf8_bytes(block["text"]):
+            words = words_of(text)
+            words.append(END)
+            own = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+            g = cls[own]
+            before = np.concatenate(([END_CLASS], g[:-1]))
+            table += np.bincount(before * CLASSES + g, minlength=CLASSES * CLASSES)
+            moved = np.flatnonzero(moves[own[:-1]])
+            ids.append(own[moved])
+            near.append(np.column_stack([before[moved], g[moved + 1] + CLASSES]).astype(np.uint8))
+        ids, near = np.concatenate(ids), np.concatenate(near)
+        order = np.argsort(ids, kind="stable")
+        seen, starts = np.unique(ids[order], return_index=True)
+        parts = np.split(near[order], starts[1:]) if len(seen) else []
+        return pa.table(
+            {
+                "word": pa.array([END, *(names[i] for i in seen)], pa.binary()),
+                "near": pa.array([table.tobytes(), *(p.tobytes() for p in parts)], pa.binary()),
+            }
+        )
+
+    return dealt.groupBy("block").cogroup(entries.groupBy("block")).applyInArrow(gather, "word binary, near binary")
+
+
+def _class_bigrams(near: DataFrame) -> np.ndarray:
+    """The sum of the blocks' counts; each task adds up its own."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for counts in batch["near"].to_pylist():
+                total += np.frombuffer(counts, np.int64)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "c": pa.array(total[cells])})
+
+    rows = near.where(F.octet_length("word") == 0).select("near").mapInArrow(run, "cell bigint, c bigint")
+    found = rows.groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
+    counts = np.zeros(CLASSES * CLASSES)
+    counts[found["cell"].to_numpy(np.int64)] = found["c"].to_numpy(np.float64)
+    return counts.reshape(CLASSES, CLASSES)
+
+
+def _sweep(train: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``word``, ``cls`` of all words outside the core, from the classes of all their neighbours."""
+    near = stored(_neighbours(train, vocabulary), "near", "zstd")
+    table = _class_bigrams(near)
+    fit = np.log((table + ADDED) / np.outer(table.sum(1) + 1, table.sum(0) + 1))
+    gains = np.vstack([fit, fit.T])[:, :END_CLASS]
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches come sorted by word; the last word of a batch may go on in the next."""
+        open_word, open_seen = None, np.zeros(2 * CLASSES, np.int64)
+
+        def chosen(names: list[bytes], seen: np.ndarray) -> pa.RecordBatch:
+            best = (seen @ gains).argmax(1)
+            return pa.RecordBatch.from_pydict({"word": pa.array(names, pa.binary()), "cls": pa.array(best.astype(np.int32))})
+
+        for batch in batches:
+            words, bytes_near = batch["word"].to_pylist(), batch["near"].to_pylist()
+            if not words:
+                continue
+            new = np.array([i == 0 or w != words[i - 1] for i, w in enumerate(words)])
+            names = [w for w, first in zip(words, new, strict=True) if first]
+            group = np.repeat(np.cumsum(new) - 1, [len(b) for b in bytes_near])
+            values = np.frombuffer(b"".join(bytes_near), np.uint8)
+            seen = np.bincount(group * 2 * CLASSES + values, minlength=len(names) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
+            if names[0] == open_word:
+                seen[0] += open_seen
+            elif open_word is not None:
+                names, seen = [open_word, *names], np.vstack([open_seen, seen])
+            open_word, open_seen = names[-1], seen[-1]
+            if len(names) > 1:
+                yield chosen(names[:-1], seen[:-1])
+        if open_word is not None:
+            yield chosen([open_word], open_seen[None])
+
+    rows = near.where(F.octet_length("word") > 0)
+    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word binary, cls int")
+
+
+def _encoded(texts: DataFrame, vocabulary: DataFrame, base: tuple[int, int], totals: dict[int, tuple[int, int]]) -> DataFrame:
+    """Per text: counts, base score, log10 of the emissions, and the class of each token as a byte.
+
+    Each block's own words are looked up by a join.
+    """
+    count, distinct = base
+    dealt, spread = _dealt(texts)
     entries = spread.join(vocabulary, "word", "left")
     kind = texts.schema["doc_id"].dataType.simpleString()
     schema = (
@@ -290,11 +399,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     known = spark.createDataFrame([(bytearray(w), g) for w, g in placed.items()], "word binary, cls int")
     others = _place_others(train, placed, member.T @ matrix @ member)
-    vocabulary = stored(
-        words.join(known.unionByName(others), "word", "left").select("word", "c", F.coalesce("cls", F.lit(0)).alias("cls")),
-        "vocabulary",
-        "zstd",
-    )
+    known, cls = known.withColumn("placed", F.lit(True)), F.coalesce("cls", F.lit(0)).alias("cls")
+    for step in range(ROUNDS + 1):
+        found = known.unionByName(others.withColumn("placed", F.lit(False)))
+        vocabulary = stored(
+            words.join(found, "word", "left").select("word", "c", cls, F.coalesce("placed", F.lit(False)).alias("placed")),
+            "vocabulary",
+            "zstd",
+        )
+        # Shuffle files go once the driver's garbage is collected, and all that is needed is stored.
+        gc.collect()
+        spark._jvm.System.gc()
+        if step < ROUNDS:
+            others = _sweep(train, vocabulary)
+    vocabulary = vocabulary.drop("placed")
     totals = {r[0]: (r[1], r[2]) for r in vocabulary.groupBy("cls").agg(F.sum("c"), F.count("*")).collect()}
     encoded = stored(_encoded(texts, vocabulary, (count, distinct), totals), "encoded", "zstd")
     steps = log_transitions(_transitions(encoded), totals)
