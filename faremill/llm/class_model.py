@@ -26,7 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -46,6 +46,12 @@ BLOCK_BYTES = 8_000_000
 END = b""
 
 
+def _let_go(spark: SparkSession) -> None:
+    """Shuffle files go once the driver's garbage is collected; called where all that is needed is stored."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
@@ -256,6 +262,7 @@ def _class_bigrams(near: DataFrame) -> np.ndarray:
 def _sweep(train: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``word``, ``cls`` of all words outside the core, from the classes of all their neighbours."""
     near = stored(_neighbours(train, vocabulary), "near", "zstd")
+    _let_go(train.sparkSession)
     table = _class_bigrams(near)
     fit = np.log((table + ADDED) / np.outer(table.sum(1) + 1, table.sum(0) + 1))
     gains = np.vstack([fit, fit.T])[:, :END_CLASS]
@@ -407,14 +414,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
             "vocabulary",
             "zstd",
         )
-        # Shuffle files go once the driver's garbage is collected, and all that is needed is stored.
-        gc.collect()
-        spark._jvm.System.gc()
+        del others, found
+        _let_go(spark)
         if step < ROUNDS:
             others = _sweep(train, vocabulary)
     vocabulary = vocabulary.drop("placed")
     totals = {r[0]: (r[1], r[2]) for r in vocabulary.groupBy("cls").agg(F.sum("c"), F.count("*")).collect()}
     encoded = stored(_encoded(texts, vocabulary, (count, distinct), totals), "encoded", "zstd")
+    _let_go(spark)
     steps = log_transitions(_transitions(encoded), totals)
 
     def finish(batch: pa.RecordBatch) -> dict:
