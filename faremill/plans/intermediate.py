@@ -30,7 +30,7 @@ def int_trips_enriched(
     """One wide row per trip.
 
     ``deal`` moves the joined rows, which have their ``trip_date``, before the columns that follow from
-    others are added: a writer that wants rows by day moves a third less.
+    others are added: a writer that wants rows by day moves a sixth less.
 
     Payments join on the column the trips were deduplicated by, so only the rolled-up payments
     move. No side is marked for broadcast: Spark broadcasts one only below its size threshold and

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 #: partitions that turn out smaller, so the number only has to be large enough.
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
 
-#: Bytes of files one task reads at most. Compressed rows grow some fifteenfold in memory and copies are
+#: Bytes of files one task reads at most. Compressed rows grow many times over in memory and copies are
 #: dropped there by a sort, which must fit a task's share of an executor or it spills all it read.
 BYTES_PER_READ = 32 * 1024 * 1024
 
