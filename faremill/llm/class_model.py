@@ -2,35 +2,39 @@
 
 P(word | previous word) = P(class of word | class of previous word) * P(word | its class).
 
-1. Words are counted over all training texts.
-2. The ``CORE`` most frequent words are clustered: each is moved to the class that raises the
+1. Texts are read once and stored as numbers of words, in blocks of bounded size that number their own
+   words. A block's words stand beside it in one list for each bucket of words.
+2. Words are counted over all training texts.
+3. The ``CORE`` most frequent words are clustered: each is moved to the class that raises the
    likelihood of the class bigrams most, again and again, until a sweep moves none. What this
    needs is a matrix of ``CORE`` by ``CORE`` counts, whatever the size of the corpus.
-3. Every other training word is put, by the same criterion, into the class that fits the classes
-   of the core words it follows. This runs as a join over the corpus, so no word is left out.
-4. All words have a class now. In ``ROUNDS`` sweeps over the corpus every word outside the core is moved to
+4. Every other training word is put, by the same criterion, into the class that fits the classes
+   of the core words it follows. This takes all training texts, so no word is left out.
+5. All words have a class now. In ``ROUNDS`` sweeps over the corpus every word outside the core is moved to
    the class that fits the classes of all its neighbours, before and after it, best. They move at
    once, as in distributed exchange; each word has neighbours, as text ends count.
-5. Class bigrams are counted over all training texts and used to score all texts.
+6. Class bigrams are counted over all training texts and used to score all texts.
 
-The vocabulary grows with the corpus and is never broadcast: texts are dealt into blocks of
-bounded size, and each block gets the entries of its own words.
+The vocabulary grows with the corpus and is never broadcast: a bucket holds bounded shares of it and of the
+blocks' lists. Between blocks and buckets go one row for each pair of them, not one for each word.
 """
 
 from __future__ import annotations
 
 import gc
-from collections import Counter
+import zlib
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from faremill.llm.common import LOWER, by_batch, held_out, stored, utf8_bytes
+from faremill.llm.common import by_batch, held_out, stored
 
 #: Words that are clustered by exchange, and the number of classes; the last class is the text end.
 CORE, CLASSES = 1_024, 64
@@ -40,10 +44,25 @@ SWEEPS = 20
 ROUNDS = 1
 #: Additive constant for counts, and the weight of the class frequencies in the transitions.
 ADDED, PRIOR = 0.1, 20.0
-#: UTF-8 bytes of text in a block on average.
-BLOCK_BYTES = 8_000_000
-#: The end of a text in tables of words; no word is empty.
-END = b""
+#: UTF-8 bytes of text in a block at most, and for each bucket of words on average.
+BLOCK_BYTES, BUCKET_BYTES = 32_000_000, 4_000_000
+#: Words whose gains are summed at a time.
+AT_ONCE = 1_024
+#: Added to the class of a word that stays where it is.
+PLACED = 2 * CLASSES
+
+
+class Corpus(NamedTuple):
+    """Texts as numbers of words, and the blocks' own words.
+
+    ``texts`` has ``doc_id``, ``held_out``, ``block`` and ``ids``, the place of each word among the block's. ``words`` has
+    for a ``block`` and a ``bucket`` the place ``first`` of the first word, the ``words`` with a space
+    between, and how often training texts have them, ``c``.
+    """
+
+    texts: DataFrame
+    words: DataFrame
+    buckets: int
 
 
 def _let_go(spark: SparkSession) -> None:
@@ -52,35 +71,161 @@ def _let_go(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.translate(LOWER).split()
+def _split(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and the words of all, A-Z lowered. Arrow's ASCII functions take any bytes."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column.view(pa.string()).fill_null("")))
+    found = lists.flatten()
+    # White space at either end of a text leaves an empty word there.
+    whole = pc.greater(pc.binary_length(found), 0)
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    return np.bincount(row[whole.to_numpy(zero_copy_only=False)], minlength=len(lists)), found.filter(whole).view(pa.binary())
+
+
+def _packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of the next ``sizes`` values in each row."""
+    ends = np.concatenate(([0], np.cumsum(sizes))) * values.itemsize
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())]
+    )
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def _count_words(batch: pa.RecordBatch) -> dict:
-    counts: Counter = Counter()
-    for text in utf8_bytes(batch["text"]):
-        counts.update(words_of(text))
-    counts[END] += batch.num_rows
-    return {"word": pa.array(list(counts), pa.binary()), "c": pa.array(list(counts.values()), pa.int64())}
+def _in_blocks(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """What a task reads, in tables of ``limit`` bytes at most or of one row."""
+    taken, size = [], 0
+    for batch in batches:
+        start = 0
+        for row, n in enumerate(pc.binary_length(batch["text"]).fill_null(0).to_pylist()):
+            if size and size + n + 8 > limit:
+                yield pa.Table.from_batches([*taken, batch.slice(start, row - start)])
+                taken, size, start = [], 0, row
+            size += n + 8
+        taken.append(batch.slice(start))
+    if size:
+        yield pa.Table.from_batches(taken)
 
 
-def _core_bigrams(train: DataFrame, core: dict[bytes, int]) -> np.ndarray:
-    """Counts of neighbours within the core; the end stands before and after each text."""
-    size = len(core)
+def _coded(texts: DataFrame) -> Corpus:
+    """``texts`` with ``doc_id``, ``text``, ``held_out``; stored, as another reading may come in other blocks."""
+    size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets, limit = int(size // BUCKET_BYTES) + 1, BLOCK_BYTES
+    kind = texts.schema["doc_id"].dataType
+    wanted = pa.schema(
+        [
+            ("block", pa.int64()), ("doc_id", to_arrow_type(kind)), ("held_out", pa.bool_()), ("ids", pa.binary()),
+            ("bucket", pa.int32()), ("first", pa.int32()), ("words", pa.binary()), ("c", pa.binary()),
+        ]
+    )
+
+    def rows(columns: dict, n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({f.name: columns.get(f.name, pa.nulls(n, f.type)) for f in wanted}, schema=wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            for text in utf8_bytes(batch["text"]):
-                words = words_of(text)
-                ids = np.fromiter(map(core.get, words, repeat(-1)), np.int64, len(words))
-                ids = np.concatenate(([core[END]], ids, [core[END]]))
-                both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-                np.add.at(total, ids[:-1][both] * size + ids[1:][both], 1)
+        for number, table in enumerate(_in_blocks(batches, limit)):
+            block = (TaskContext.get().partitionId() << 32) + number
+            sizes, found = _split(table["text"])
+            coded = found.dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            bucket = np.fromiter(map(zlib.crc32, names), np.int64, len(names)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            place = np.empty(len(names), np.uint32)
+            place[order] = np.arange(len(names))
+            ids = place[coded.indices.to_numpy()]
+            train = np.repeat(~table["held_out"].to_numpy(), sizes)
+            c = np.bincount(ids[train], minlength=len(names)).astype(np.uint32)
+            doc_id, held = (table[name].combine_chunks() for name in ("doc_id", "held_out"))
+            own = {"block": pa.array([block] * len(sizes), pa.int64()), "doc_id": doc_id, "held_out": held}
+            yield rows({**own, "ids": _packed(ids, sizes)}, len(sizes))
+            used, first, n = np.unique(bucket[order], return_index=True, return_counts=True)
+            lists = [b" ".join([names[i] for i in order[at : at + m]]) for at, m in zip(first, n, strict=True)]
+            own = {"block": pa.array([block] * len(used), pa.int64()), "bucket": pa.array(used.astype(np.int32))}
+            own |= {"first": pa.array(first.astype(np.int32)), "words": pa.array(lists, pa.binary())}
+            yield rows({**own, "c": _packed(c, n)}, len(used))
+
+    schema = (
+        f"block bigint, doc_id {kind.simpleString()}, held_out boolean, ids binary, "
+        "bucket int, first int, words binary, c binary"
+    )
+    coded = stored(texts.select("doc_id", "text", "held_out").mapInArrow(run, schema), "coded", "zstd")
+    return Corpus(
+        coded.where("bucket is null").select("block", "doc_id", "held_out", "ids"),
+        coded.where("bucket is not null").select("block", "bucket", "first", "words", "c"),
+        buckets,
+    )
+
+
+def _count_words(corpus: Corpus) -> DataFrame:
+    """``word``, ``c`` of the words of training texts."""
+
+    def run(lists: pa.Table) -> pa.Table:
+        coded = _split(lists["words"])[1].dictionary_encode()
+        c = np.bincount(coded.indices.to_numpy(), _unpacked(lists["c"], np.uint32), len(coded.dictionary))
+        return pa.table({"word": coded.dictionary.filter(pa.array(c > 0)), "c": pa.array(c[c > 0].astype(np.int64))})
+
+    return corpus.words.groupBy("bucket").applyInArrow(run, "word binary, c bigint")
+
+
+def _core_codes(corpus: Corpus, core: dict[bytes, int]) -> DataFrame:
+    """For each of the blocks' lists, the ``code`` of its words: as ``core`` has it, or -1."""
+    names, values = pa.array(list(core), pa.binary()), np.array([*core.values(), -1], np.int16)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        sizes, found = _split(batch["words"])
+        code = values[pc.index_in(found, names).fill_null(-1).to_numpy()]
+        return {**{c: batch[c] for c in ("block", "bucket", "first")}, "code": _packed(code, sizes)}
+
+    lists = corpus.words.select("block", "bucket", "first", "words")
+    return by_batch(lists, "block bigint, bucket int, first int, code binary", run)
+
+
+def _looked_up(corpus: Corpus, vocabulary: DataFrame, columns: dict[str, type]) -> DataFrame:
+    """For each of the blocks' lists, what ``vocabulary`` has for its words in ``columns``, or -1."""
+    known = vocabulary.where(F.octet_length("word") > 0).select(
+        (F.crc32("word") % corpus.buckets).cast("int").alias("bucket"), "word", *columns
+    )
+
+    def run(lists: pa.Table, known: pa.Table) -> pa.Table:
+        sizes, found = _split(lists["words"])
+        at = pc.index_in(found, known["word"].combine_chunks()).fill_null(-1).to_numpy()
+        own = {c: lists[c] for c in ("block", "bucket", "first")}
+        return pa.table(own | {c: _packed(np.append(known[c].to_numpy(), -1).astype(k)[at], sizes) for c, k in columns.items()})
+
+    schema = "block bigint, bucket int, first int, " + ", ".join(f"{c} binary" for c in columns)
+    lists = corpus.words.select("block", "bucket", "first", "words")
+    return lists.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(run, schema)
+
+
+def _in_a_row(block: pa.Table, end: int) -> np.ndarray:
+    """The ids of a block's words; ``end`` stands before the first text and after each."""
+    texts = block["ids"].to_pylist()
+    ends = np.cumsum([0, *(len(t) // 4 + 1 for t in texts)])
+    row = np.full(ends[-1] + 1, end, np.int64)
+    inside = np.ones(len(row), bool)
+    inside[ends] = False
+    row[inside] = np.frombuffer(b"".join(texts), np.uint32)
+    return row
+
+
+def _core_bigrams(corpus: Corpus, core: dict[bytes, int]) -> np.ndarray:
+    """Counts of neighbours within the core, whose words count from 1; the end, 0, stands before and after each text."""
+    size = len(core) + 1
+
+    def run(block: pa.Table, known: pa.Table) -> pa.Table:
+        code = np.append(_unpacked(known.sort_by("first")["code"], np.int16), 0).astype(np.int64)
+        code = code[_in_a_row(block, len(code) - 1)]
+        both = (code[:-1] >= 0) & (code[1:] >= 0)
+        total = np.bincount(code[:-1][both] * size + code[1:][both], minlength=size * size)
         cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "c": pa.array(total[cells])})
+        return pa.table({"cell": pa.array(cells), "c": pa.array(total[cells])})
 
-    found = train.mapInArrow(run, "cell bigint, c bigint").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
+    train, codes = corpus.texts.where("not held_out"), _core_codes(corpus, core)
+    rows = train.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(run, "cell bigint, c bigint")
+    found = rows.groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
     matrix = np.zeros(size * size)
     matrix[found["cell"].to_numpy(np.int64)] = found["c"].to_numpy(np.float64)
     return matrix.reshape(size, size)
@@ -129,116 +274,44 @@ def exchange(matrix: np.ndarray, end: int, classes: int = CLASSES, sweeps: int =
     return place
 
 
-def _place_others(train: DataFrame, core: dict[bytes, int], table: np.ndarray) -> DataFrame:
-    """``word``, ``cls`` of the words outside the core that follow a core word somewhere.
+def _neighbours(corpus: Corpus, codes: DataFrame, after: bool = True) -> DataFrame:
+    """For each of the blocks' lists: ``n``, how many neighbours with a class its words have, and these in ``near``.
 
-    ``core`` gives the class. The rows of one word come from a task each at most once per class, so
-    no word gathers more rows than there are batches times classes.
+    ``codes`` gives the classes of words, with ``PLACED`` added for those that stay and have no neighbours here.
+    A neighbour is a byte, its class if it stands before the word, that plus ``CLASSES`` if after it, which
+    ``after`` can leave out. One more row of a block, of bucket -1, has its counts of class bigrams.
     """
-    fit = np.log((table + ADDED) / np.outer(table.sum(1) + 1, table.sum(0) + 1))
-    fit[:, END_CLASS] = -np.inf
-
-    def context(batch: pa.RecordBatch) -> dict:
-        counts: Counter = Counter()
-        for text in utf8_bytes(batch["text"]):
-            words = words_of(text)
-            before = [END_CLASS, *map(core.get, words, repeat(-1))]
-            counts.update([(w, p) for w, p, c in zip(words, before, before[1:], strict=False) if c < 0 <= p])
-        return {
-            "word": pa.array([w for w, _ in counts], pa.binary()),
-            "before": pa.array([p for _, p in counts], pa.int32()),
-            "c": pa.array(list(counts.values()), pa.int64()),
-        }
-
-    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Batches come sorted by word; the last word of a batch may go on in the next."""
-        open_word, open_gain = None, np.zeros(CLASSES)
-        for batch in batches:
-            words = batch["word"].to_pylist()
-            if not words:
-                continue
-            gain = fit[batch["before"].to_numpy()] * batch["c"].to_numpy()[:, None]
-            starts = [i for i, w in enumerate(words) if i == 0 or w != words[i - 1]]
-            sums, names = np.add.reduceat(gain, starts, axis=0), [words[i] for i in starts]
-            if names[0] == open_word:
-                sums[0] += open_gain
-            elif open_word is not None:
-                names, sums = [open_word, *names], np.vstack([open_gain, sums])
-            open_word, open_gain = names[-1], sums[-1]
-            if len(names) > 1:
-                yield pa.RecordBatch.from_pydict(
-                    {"word": pa.array(names[:-1], pa.binary()), "cls": pa.array(sums[:-1].argmax(1).astype(np.int32))}
-                )
-        if open_word is not None:
-            yield pa.RecordBatch.from_pydict(
-                {"word": pa.array([open_word], pa.binary()), "cls": pa.array([int(open_gain.argmax())], pa.int32())}
-            )
-
-    rows = by_batch(train, "word binary, before int, c bigint", context)
-    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word binary, cls int")
-
-
-def _dealt(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``texts`` in blocks, and the distinct ``block``, ``word`` of their words and ends.
-
-    Texts are dealt by their place in the input, so that repeated rows spread.
-    """
-    size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = int(size // BLOCK_BYTES) + 1
-    place = F.xxhash64(F.monotonically_increasing_id())
-    dealt = texts.withColumn("block", F.pmod(place, F.lit(blocks))).repartition("block")
-
-    def own_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[int, set[bytes]] = {}
-            for block, text in zip(batch["block"].to_pylist(), utf8_bytes(batch["text"]), strict=True):
-                seen.setdefault(block, {END}).update(words_of(text))
-            for block, words in seen.items():
-                yield pa.RecordBatch.from_pydict(
-                    {"block": pa.array([block] * len(words), pa.int64()), "word": pa.array(list(words), pa.binary())}
-                )
-
-    return dealt, dealt.mapInArrow(own_words, "block bigint, word binary").distinct()
-
-
-def _neighbours(train: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``word``, ``near``: for a block and a word outside the core, a byte for each neighbour's class.
 
-    The class of the word before stands as it is, that of the word after plus ``CLASSES``. The row of the
-    end holds the block's counts of class bigrams instead.
-    """
-    dealt, spread = _dealt(train)
-    entries = spread.join(vocabulary.select("word", "cls", "placed"), "word")
-
-    def gather(block: pa.Table, known: pa.Table) -> pa.Table:
-        names = known["word"].to_pylist()
-        at = {w: i for i, w in enumerate(names)}
-        cls = known["cls"].to_numpy().astype(np.int64)
-        moves = ~known["placed"].to_numpy(zero_copy_only=False)
-        table = np.zeros(CLASSES * CLASSES, np.int64)
-        ids, near = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.uint8)]
-        for text in utf8_bytes(block["text"]):
-            words = words_of(text)
-            words.append(END)
-            own = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-            g = cls[own]
-            before = np.concatenate(([END_CLASS], g[:-1]))
-            table += np.bincount(before * CLASSES + g, minlength=CLASSES * CLASSES)
-            moved = np.flatnonzero(moves[own[:-1]])
-            ids.append(own[moved])
-            near.append(np.column_stack([before[moved], g[moved + 1] + CLASSES]).astype(np.uint8))
-        ids, near = np.concatenate(ids), np.concatenate(near)
-        order = np.argsort(ids, kind="stable")
-        seen, starts = np.unique(ids[order], return_index=True)
-        parts = np.split(near[order], starts[1:]) if len(seen) else []
-        return pa.table(
+    def run(block: pa.Table, known: pa.Table) -> pa.Table:
+        known = known.sort_by("first")
+        code = np.append(_unpacked(known["code"], np.int16), PLACED + END_CLASS).astype(np.int64)
+        row = _in_a_row(block, len(code) - 1)
+        cls = np.where(code < 0, -1, code % PLACED)[row]
+        both = (cls[:-1] >= 0) & (cls[1:] >= 0)
+        table = np.bincount(cls[:-1][both] * CLASSES + cls[1:][both], minlength=CLASSES * CLASSES)
+        moved = np.flatnonzero(code[row] < PLACED)
+        at, previous = row[moved] * PLACED, cls[moved - 1]
+        near = (at + previous)[previous >= 0]
+        if after:
+            following = cls[moved + 1]
+            near = np.concatenate([near, (at + CLASSES + following)[following >= 0]])
+        near.sort()
+        n = np.bincount(near // PLACED, minlength=len(code) - 1).astype(np.uint32)
+        sizes = np.array([len(c) // 2 for c in known["code"].to_pylist()], np.int64)
+        ends = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))[np.concatenate(([0], np.cumsum(sizes)))]
+        first = block["block"] if block.num_rows else known["block"]
+        lists = pa.table(
             {
-                "word": pa.array([END, *(names[i] for i in seen)], pa.binary()),
-                "near": pa.array([table.tobytes(), *(p.tobytes() for p in parts)], pa.binary()),
+                "block": known["block"], "bucket": known["bucket"],
+                "n": _packed(n, sizes), "near": _packed((near % PLACED).astype(np.uint8), np.diff(ends)),
             }
-        )
+        )
+        counts = {"block": first[:1], "bucket": pa.array([-1], pa.int32()), "n": pa.array([b""]), "near": pa.array([table.tobytes()])}
+        return pa.concat_tables([lists, pa.table(counts)])
 
-    return dealt.groupBy("block").cogroup(entries.groupBy("block")).applyInArrow(gather, "word binary, near binary")
+    train = corpus.texts.where("not held_out")
+    schema = "block bigint, bucket int, n binary, near binary"
+    return train.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(run, schema)
 
 
 def _class_bigrams(near: DataFrame) -> np.ndarray:
@@ -252,82 +325,97 @@ def _class_bigrams(near: DataFrame) -> np.ndarray:
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "c": pa.array(total[cells])})
 
-    rows = near.where(F.octet_length("word") == 0).select("near").mapInArrow(run, "cell bigint, c bigint")
+    rows = near.where("bucket < 0").select("near").mapInArrow(run, "cell bigint, c bigint")
     found = rows.groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
     counts = np.zeros(CLASSES * CLASSES)
     counts[found["cell"].to_numpy(np.int64)] = found["c"].to_numpy(np.float64)
     return counts.reshape(CLASSES, CLASSES)
 
 
-def _sweep(train: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``word``, ``cls`` of all words outside the core, from the classes of all their neighbours."""
-    near = stored(_neighbours(train, vocabulary), "near", "zstd")
-    _let_go(train.sparkSession)
-    table = _class_bigrams(near)
-    fit = np.log((table + ADDED) / np.outer(table.sum(1) + 1, table.sum(0) + 1))
-    gains = np.vstack([fit, fit.T])[:, :END_CLASS]
+def _fit(table: np.ndarray) -> np.ndarray:
+    return np.log((table + ADDED) / np.outer(table.sum(1) + 1, table.sum(0) + 1))
 
-    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Batches come sorted by word; the last word of a batch may go on in the next."""
-        open_word, open_seen = None, np.zeros(2 * CLASSES, np.int64)
 
-        def chosen(names: list[bytes], seen: np.ndarray) -> pa.RecordBatch:
-            best = (seen @ gains).argmax(1)
-            return pa.RecordBatch.from_pydict({"word": pa.array(names, pa.binary()), "cls": pa.array(best.astype(np.int32))})
+def _best_classes(corpus: Corpus, near: DataFrame, gains: np.ndarray) -> DataFrame:
+    """``word``, ``cls``: where the ``gains`` of a word's neighbours add up to most, for words that have any."""
 
-        for batch in batches:
-            words, bytes_near = batch["word"].to_pylist(), batch["near"].to_pylist()
-            if not words:
-                continue
-            new = np.array([i == 0 or w != words[i - 1] for i, w in enumerate(words)])
-            names = [w for w, first in zip(words, new, strict=True) if first]
-            group = np.repeat(np.cumsum(new) - 1, [len(b) for b in bytes_near])
-            values = np.frombuffer(b"".join(bytes_near), np.uint8)
-            seen = np.bincount(group * 2 * CLASSES + values, minlength=len(names) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
-            if names[0] == open_word:
-                seen[0] += open_seen
-            elif open_word is not None:
-                names, seen = [open_word, *names], np.vstack([open_seen, seen])
-            open_word, open_seen = names[-1], seen[-1]
-            if len(names) > 1:
-                yield chosen(names[:-1], seen[:-1])
-        if open_word is not None:
-            yield chosen([open_word], open_seen[None])
-
-    rows = near.where(F.octet_length("word") > 0)
-    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word binary, cls int")
-
-
-def _encoded(texts: DataFrame, vocabulary: DataFrame, base: tuple[int, int], totals: dict[int, tuple[int, int]]) -> DataFrame:
+    def run(lists: pa.Table, near: pa.Table) -> pa.Table:
+        lists, near = lists.sort_by("block"), near.sort_by("block")
+        coded = _split(lists["words"])[1].dictionary_encode()
+        word = np.repeat(coded.indices.to_numpy().astype(np.int64), _unpacked(near["n"], np.uint32))
+        seen = np.sort(word * PLACED + _unpacked(near["near"], np.uint8))
+        found, best = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        bounds = np.arange(0, len(coded.dictionary) + AT_ONCE, AT_ONCE)
+        for part in np.split(seen, np.searchsorted(seen, bounds[1:-1] * PLACED)):
+            cells, c = np.unique(part, return_counts=True)
+            words, starts = np.unique(cells // PLACED, return_index=True)
+            if len(words):
+                found.append(words)
+                best.append(np.add.reduceat(gains[cells % PLACED] * c[:, None], starts, axis=0).argmax(1))
+        names = coded.dictionary.take(pa.array(np.concatenate(found)))
+        return pa.table({"word": names, "cls": pa.array(np.concatenate(best).astype(np.int32))})
+
+    lists, rows = corpus.words.select("bucket", "block", "words"), near.where("bucket >= 0")
+    return lists.groupBy("bucket").cogroup(rows.groupBy("bucket")).applyInArrow(run, "word binary, cls int")
+
+
+def _place_others(corpus: Corpus, core: dict[bytes, int], table: np.ndarray) -> DataFrame:
+    """``word``, ``cls`` of the words outside the core that follow a core word somewhere; ``core`` gives the class."""
+    codes = _core_codes(corpus, {w: g + PLACED for w, g in core.items()})
+    near = stored(_neighbours(corpus, codes, after=False), "near", "zstd")
+    _let_go(near.sparkSession)
+    return _best_classes(corpus, near, _fit(table)[:, :END_CLASS])
+
+
+def _sweep(train: Corpus | DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``word``, ``cls`` of all words outside the core, from the classes of all their neighbours.
+
+    ``vocabulary`` has ``word``, ``cls`` and ``placed`` for those in the core; a table of training texts is coded first.
+    """
+    if not isinstance(train, Corpus):
+        train = _coded(train.select(F.lit(0).alias("doc_id"), "text", F.lit(False).alias("held_out")))
+    code = F.col("cls") + F.when(F.col("placed"), PLACED).otherwise(0)
+    codes = _looked_up(train, vocabulary.select("word", code.alias("code")), {"code": np.int16})
+    near = stored(_neighbours(train, codes), "near", "zstd")
+    _let_go(vocabulary.sparkSession)
+    fit = _fit(_class_bigrams(near))
+    return _best_classes(train, near, np.vstack([fit, fit.T])[:, :END_CLASS])
+
+
+def _encoded(
+    corpus: Corpus, vocabulary: DataFrame, base: tuple[int, int], ends: int, totals: dict[int, tuple[int, int]]
+) -> DataFrame:
     """Per text: counts, base score, log10 of the emissions, and the class of each token as a byte.
 
-    Each block's own words are looked up by a join.
+    ``base`` has the number of training tokens and of distinct ones, ``ends`` that of training texts.
     """
     count, distinct = base
-    dealt, spread = _dealt(texts)
-    entries = spread.join(vocabulary, "word", "left")
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    known = _looked_up(corpus, vocabulary, {"cls": np.int16, "c": np.int64})
+    kind = corpus.texts.schema["doc_id"].dataType
     schema = (
-        f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+        f"doc_id {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, "
         "base_score double, emission double, classes binary"
     )
+    wanted = pa.schema(
+        [
+            ("doc_id", to_arrow_type(kind)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+            ("base_score", pa.float64()), ("emission", pa.float64()), ("classes", pa.binary()),
+        ]
+    )
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
-        at = {w: i for i, w in enumerate(known["word"].to_pylist())}
-        c = np.nan_to_num(known["c"].to_numpy(zero_copy_only=False).astype(np.float64))
-        classes = np.where(c > 0, np.nan_to_num(known["cls"].to_numpy(zero_copy_only=False).astype(np.float64)), UNKNOWN)
+        known = known.sort_by("first")
+        c = np.append(np.maximum(_unpacked(known["c"], np.int64), 0), ends).astype(np.float64)
+        g = np.where(c > 0, np.append(_unpacked(known["cls"], np.int16), END_CLASS), UNKNOWN).astype(np.int64)
         held, kinds = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-        for g, (n, v) in totals.items():
-            held[g], kinds[g] = n, v
-        g = classes.astype(np.int64)
+        for at, (n, v) in totals.items():
+            held[at], kinds[at] = n, v
         low = np.log10((c + ADDED) / (count + ADDED * (distinct + 1)))
         emitted = np.where(g == UNKNOWN, 0.0, np.log10((c + ADDED) / (held[g] + ADDED * (kinds[g] + 1))))
         letters = g.astype(np.uint8)
         rows: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "emission": [], "classes": []}
-        for text in utf8_bytes(block["text"]):
-            words = words_of(text)
-            words.append(END)
-            ids = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+        for text in block["ids"].to_pylist():
+            ids = np.append(np.frombuffer(text, np.uint32), len(c) - 1)
             rows["n_tokens"].append(len(ids))
             rows["n_known"].append(int((c[ids] > 0).sum()))
             rows["base_score"].append(float(low[ids].sum()))
@@ -335,14 +423,7 @@ def _encoded(texts: DataFrame, vocabulary: DataFrame, base: tuple[int, int], tot
             rows["classes"].append(letters[ids].tobytes())
         return pa.table({"doc_id": block["doc_id"], "held_out": block["held_out"], **rows}, schema=wanted)
 
-    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
-    wanted = pa.schema(
-        [
-            ("doc_id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-            ("base_score", pa.float64()), ("emission", pa.float64()), ("classes", pa.binary()),
-        ]
-    )
-    return dealt.groupBy("block").cogroup(entries.groupBy("block")).applyInArrow(score, schema)
+    return corpus.texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(score, schema)
 
 
 def _transitions(encoded: DataFrame) -> np.ndarray:
@@ -390,22 +471,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     as often as they occur. Without training texts all words are unknown. Other columns are
     ignored; an empty table gives no rows.
     """
-    texts = docs.select("doc_id", "text", held_out("doc_id", 10).alias("held_out"))
-    train = texts.where("not held_out").select("text")
-    counted = by_batch(train, "word binary, c bigint", _count_words)
-    words = stored(counted.groupBy("word").agg(F.sum("c").alias("c")), "words", "zstd")
-    count, distinct = words.select(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-
-    top = words.where(F.octet_length("word") > 0).orderBy(F.desc("c"), "word").limit(CORE).collect()
-    core = {END: 0, **{bytes(r["word"]): i for i, r in enumerate(top, 1)}}
-    matrix = _core_bigrams(train, core)
-    place = exchange(matrix, core[END])
+    spark = docs.sparkSession
+    corpus = _coded(docs.select("doc_id", "text", held_out("doc_id", 10).alias("held_out")))
+    words = stored(_count_words(corpus), "words", "zstd")
+    _let_go(spark)
+    # Each training text has one end, a token beside its words.
+    ends = corpus.texts.where("not held_out").count()
+    count, distinct = words.select(F.coalesce(F.sum("c"), F.lit(0)) + ends, F.count("*") + int(ends > 0)).first()
+
+    top = words.orderBy(F.desc("c"), "word").limit(CORE).collect()
+    core = {bytes(r["word"]): i for i, r in enumerate(top, 1)}
+    matrix = _core_bigrams(corpus, core)
+    place = exchange(matrix, 0)
     member = np.eye(CLASSES)[place]
     placed = {w: int(place[i]) for w, i in core.items()}
 
-    spark = docs.sparkSession
+    _let_go(spark)
     known = spark.createDataFrame([(bytearray(w), g) for w, g in placed.items()], "word binary, cls int")
-    others = _place_others(train, placed, member.T @ matrix @ member)
+    others = _place_others(corpus, placed, member.T @ matrix @ member)
     known, cls = known.withColumn("placed", F.lit(True)), F.coalesce("cls", F.lit(0)).alias("cls")
     for step in range(ROUNDS + 1):
         found = known.unionByName(others.withColumn("placed", F.lit(False)))
@@ -417,10 +500,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
         del others, found
         _let_go(spark)
         if step < ROUNDS:
-            others = _sweep(train, vocabulary)
-    vocabulary = vocabulary.drop("placed")
+            others = _sweep(corpus, vocabulary)
     totals = {r[0]: (r[1], r[2]) for r in vocabulary.groupBy("cls").agg(F.sum("c"), F.count("*")).collect()}
-    encoded = stored(_encoded(texts, vocabulary, (count, distinct), totals), "encoded", "zstd")
+    if ends:
+        totals[END_CLASS] = (ends, 1)
+    encoded = stored(_encoded(corpus, vocabulary, (count, distinct), ends, totals), "encoded", "zstd")
     _let_go(spark)
     steps = log_transitions(_transitions(encoded), totals)
 
