@@ -45,7 +45,7 @@ ROUNDS = 1
 #: Additive constant for counts, and the weight of the class frequencies in the transitions.
 ADDED, PRIOR = 0.1, 20.0
 #: UTF-8 bytes of text in a block at most, and for each bucket of words on average.
-BLOCK_BYTES, BUCKET_BYTES = 32_000_000, 4_000_000
+BLOCK_BYTES, BUCKET_BYTES = 32_000_000, 8_000_000
 #: Words whose gains are summed at a time.
 AT_ONCE = 1_024
 #: Added to the class of a word that stays where it is.
